@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import os
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,18 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where that is unset (tests on one machine) a temporary one."""
+    got = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return got.get() if got.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt")
+
+
+def released(df: DataFrame) -> DataFrame:
+    """Let the driver collect what lies behind ``df``, so that finished shuffles and checkpoints leave the disks."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
 
-    The folder is the one that the cluster names in ``spark.checkpoint.dir``; where that is unset (tests on
-    one machine) a temporary folder is made.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+    path = os.path.join(shared_folder(df.sparkSession), f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array (null: empty array)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

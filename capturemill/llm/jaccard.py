@@ -6,12 +6,15 @@ similarity ``t`` share one among the first ``|x| - ceil(t |x|) + 1`` of each. Th
 frequent last (the sample affects the cost alone; the result is exact for any order). Index lists are kept by size and then
 place, so that whole blocks whose size or place rules a match out are skipped.
 
-Set relations save the rest. A list isn't joined all with all: each member is first compared with one leader of its size block,
-the member with the fewest rare shingles. A set that is similar to its leader takes over the leader's answer, the
-component; as only components are asked for, no pair within a component is compared any more. Lists whose members are of one
-component by then are done. The others are gone through again: first with the most linked members as leaders, then all
-pairs of different components, without exception. So no link between components is missed, and a group of copies costs
-a number of comparisons in proportion to its members.
+The prefix is longer by ``SHARED - 1`` places, so a match shares ``SHARED`` places of it (fewer if the set is that
+small), and a pair that shares fewer, or whose first shared places leave too little, is not compared.
+
+Set relations save the rest. Lists of up to ``SHORT`` sets are joined at once. In a longer list each member is first
+compared with one leader of its size block, the member with the fewest rarer shingles before the list's. A set that is
+similar to its leader takes over the leader's answer, the component; as only components are asked for, no pair within a
+component is compared any more. Lists whose members are of one component by then are done. The others are gone through
+again: first with the most linked members as leaders, then all pairs of different components, without exception. So no
+link between components is missed, and a group of copies costs a number of comparisons in proportion to its members.
 
 Sizes of what moves: a quarter of the shingles go into the index, once. The frequent shingles that are broadcast are
 ``most_frequent`` at most; the ids of texts to be compared are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond.
@@ -26,9 +29,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, gram_hashes, mix, text_bytes, word_hashes
+from .common import checkpointed, gram_hashes, mix, released, text_bytes, word_hashes, written
 
 BROADCAST_IDS = 2_000_000
+#: Sets in a list whose pairs are all made at once, and prefix places that a match must share.
+SHORT, SHARED = 8, 5
 
 
 def shingles(text: bytes, n: int = 5) -> np.ndarray:
@@ -100,7 +105,8 @@ def _index(held, n: int, percent: int):
                     if not len(s) or (k := _key(s)) in seen:
                         continue
                     seen.add(k)
-                    m = len(s) - (percent * len(s) + 99) // 100 + 1
+                    least = (percent * len(s) + 99) // 100
+                    m = len(s) - least + min(SHARED, least)
                     for c, v in zip(cols, (prefix_order(s, frequent)[:m].view(np.int64), np.full(m, k), np.full(m, len(s), np.int32), np.arange(m, dtype=np.int32)), strict=True):
                         c.append(v)
                 if cols[0]:
@@ -127,89 +133,135 @@ def _runs(batches, width: int):
         yield rest, np.array([0, len(rest[0])])
 
 
-def _shared(batches):
-    """Only lists of two different sets or more go on; a set that several tasks sent is listed once."""
+KIND = "kind byte, x long, y long, n1 int, n2 int, p1 int, p2 int, c long"
+
+
+def _batch(kind: int, x, y, n1, n2, p1, p2, c):
     import pyarrow as pa
 
-    for cols, edges in _runs(batches, 4):
-        token, sid = cols[0], cols[1]
-        first = np.ones(len(token), dtype=bool)  # rows are sorted by token, then size and set
-        first[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
-        sums = np.concatenate(([0], np.cumsum(first)))
-        many = (sums[edges[1:]] - sums[edges[:-1]]) > 1
-        ok = first & np.repeat(many, np.diff(edges))
-        if ok.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in cols], names=["token", "sid", "n", "pos"])
+    cols = [(np.full(len(x), kind), pa.int8()), (x, pa.int64()), (y, pa.int64()), (n1, pa.int32()), (n2, pa.int32()), (p1, pa.int32()), (p2, pa.int32()), (c, pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(v), k) for v, k in cols], names=["kind", "x", "y", "n1", "n2", "p1", "p2", "c"])
 
 
-def _possible(a, b, percent: int) -> bool:
-    """Whether the sizes and places (n, pos) of a first shared shingle leave room for a match."""
-    (na, pa_), (nb, pb) = a, b
-    if 100 * min(na, nb) < percent * max(na, nb):
-        return False
-    return (100 + percent) * (1 + min(na - pa_ - 1, nb - pb - 1)) >= percent * (na + nb)
+def _summed_pairs(rows: list[tuple]):
+    """Pairs with equal ends as one: least places and the number of shared ones."""
+    a, b, na, nb, pa_, pb = (np.concatenate(c) for c in zip(*rows, strict=True))
+    order = np.lexsort((pa_, b, a))
+    a, b, na, nb, pa_, pb = (v[order] for v in (a, b, na, nb, pa_, pb))
+    first = np.ones(len(a), dtype=bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(first)
+    return a[at], b[at], na[at], nb[at], pa_[at], pb[at], np.diff(np.append(at, len(a)))
 
 
-def _pairs(percent: int, all_pairs: bool):
-    """Candidate pairs from lists ``token, sid, n, pos, comp, rank`` sorted by token, size and set.
+def _ordered(a, b, na, nb, pa_, pb):
+    swap = a > b
+    return np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb), np.where(swap, pb, pa_), np.where(swap, pa_, pb)
 
-    With leaders: in each block of comparable sizes all members meet the member of the highest rank. All pairs: members of
-    different components meet; from a place on in the order of sizes no partner can be large enough, and the rest is skipped.
-    """
+
+def _lists(percent: int):
+    """Kind 1: pairs from short lists, with shared counts. Kind 0: rows of longer lists. Kind 2: their pairs with leaders. A set that several tasks sent is listed once."""
 
     def run(batches):
-        import pyarrow as pa
+        pairs: list[tuple] = []
+        waiting = 0
+        for cols, edges in _runs(batches, 4):
+            token, sid = cols[0], cols[1]
+            first = np.ones(len(token), dtype=bool)  # rows are sorted by token, then size and set
+            first[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
+            sums = np.concatenate(([0], np.cumsum(first)))
+            starts, sizes = sums[edges[:-1]], sums[edges[1:]] - sums[edges[:-1]]
+            token, sid, n, pos = (c[first] for c in cols)
+            for size in range(2, SHORT + 1):
+                s = starts[sizes == size]
+                if not len(s):
+                    continue
+                for i in range(size):
+                    for j in range(i + 1, size):
+                        x, y = s + i, s + j
+                        ok = 100 * n[x].astype(np.int64) >= percent * n[y].astype(np.int64)
+                        x, y = x[ok], y[ok]
+                        if len(x):
+                            pairs.append(_ordered(sid[x], sid[y], n[x], n[y], pos[x], pos[y]))
+                            waiting += len(x)
+            long = sizes > SHORT
+            if long.any():
+                own = np.concatenate([np.arange(a, a + k) for a, k in zip(starts[long], sizes[long], strict=True)])
+                zero = np.zeros(len(own))
+                yield _batch(0, token[own], sid[own], n[own], zero, pos[own], zero, zero + 1)
+                led: list[tuple[int, int]] = []
+                for a, k in zip(starts[long].tolist(), sizes[long].tolist(), strict=True):
+                    led += _led(n[a : a + k], pos[a : a + k], -pos[a : a + k], percent, a)
+                if led:
+                    x, y = np.array(led).T
+                    p = _ordered(sid[x], sid[y], n[x], n[y], pos[x], pos[y])
+                    yield _batch(2, *p, np.ones(len(x)))
+            if waiting > 500_000:
+                yield _batch(1, *_summed_pairs(pairs))
+                pairs, waiting = [], 0
+        if pairs:
+            yield _batch(1, *_summed_pairs(pairs))
+
+    return run
+
 
-        seen: set[tuple[int, int]] = set()
-        out: list[tuple[int, int]] = []
+def _led(n, pos, rank, percent: int, offset: int = 0) -> list[tuple[int, int]]:
+    """Members of one list (sorted by size) with the leader of their block of comparable sizes, where a match is possible."""
+    out, i, e = [], 0, len(n)
+    while i < e:
+        j = int(np.searchsorted(n, 100 * int(n[i]) // percent, side="right"))
+        top = i + int(np.argmax(rank[i:j]))
+        room = 1 + np.minimum(n[i:j] - pos[i:j] - 1, n[top] - pos[top] - 1).astype(np.int64)
+        ok = (100 + percent) * room >= percent * (n[i:j].astype(np.int64) + int(n[top]))
+        ok[top - i] = False
+        out += [(offset + i + k, offset + top) for k in np.flatnonzero(ok).tolist()]
+        i = j
+    return out
 
-        def put(x, y):
-            p = (x, y) if x < y else (y, x)
-            if p not in seen:
-                seen.add(p)
-                out.append(p)
 
-        def flush():
-            a, b = zip(*out, strict=True)
-            out.clear()
-            if len(seen) > 2_000_000:
-                seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _pairs(percent: int, all_pairs: bool):
+    """Pairs of different components from long lists ``token, sid, n, pos, comp, rank`` sorted by token, size and set.
+
+    All pairs: from a place on in the order of sizes no partner can be large enough, and the rest of the list is skipped.
+    """
 
+    def run(batches):
         for cols, edges in _runs(batches, 6):
             _, sid, n, pos, comp, rank = cols
+            found, waiting = [], 0
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if e - s < 2 or (comp[s:e] == comp[s]).all():
+                if (comp[s:e] == comp[s]).all():
                     continue
-                i = s
-                while i < e:
-                    if all_pairs:
-                        limit = 100 * int(n[i]) // percent  # larger ones are skipped
-                        for j in range(i + 1, e):
-                            if n[j] > limit:
-                                break
-                            if comp[i] != comp[j] and _possible((int(n[i]), int(pos[i])), (int(n[j]), int(pos[j])), percent):
-                                put(int(sid[i]), int(sid[j]))
-                            if len(out) > 50_000:
-                                yield flush()
-                        i += 1
-                        continue
-                    j = i
-                    while j < e and 100 * int(n[i]) >= percent * int(n[j]):
-                        j += 1
-                    top = i + int(np.argmax(rank[i:j]))
-                    for k in range(i, j):
-                        if comp[k] != comp[top] and _possible((int(n[k]), int(pos[k])), (int(n[top]), int(pos[top])), percent):
-                            put(int(sid[k]), int(sid[top]))
-                    i = j
-                if len(out) > 50_000:
-                    yield flush()
-        if out:
-            yield flush()
+                if not all_pairs:
+                    x = np.array(_led(n[s:e], pos[s:e], rank[s:e], percent, s), dtype=np.int64).reshape(-1, 2)
+                    x = x[comp[x[:, 0]] != comp[x[:, 1]]]
+                    found.append(_ordered(*(c[x[:, k]] for c in (sid, n, pos) for k in (0, 1))))
+                    continue
+                for i in range(s, e):
+                    j = s + int(np.searchsorted(n[s:e], 100 * int(n[i]) // percent, side="right"))
+                    y = np.arange(i + 1, j)
+                    y = y[comp[y] != comp[i]]
+                    if len(y):
+                        x = np.full(len(y), i)
+                        found.append(_ordered(*(c[k] for c in (sid, n, pos) for k in (x, y))))
+                        waiting += len(y)
+                    if waiting > 500_000:
+                        yield _batch(1, *_summed_pairs(found))
+                        found, waiting = [], 0
+            if found:
+                yield _batch(1, *_summed_pairs(found))
 
     return run
 
 
+def _worth(pairs: DataFrame, percent: int) -> DataFrame:
+    """Sums of pairs by their ends; of these the ones that share enough places and have room for a match."""
+    p = pairs.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("c").alias("c"), F.min("n1").alias("na"), F.min("n2").alias("nb"), F.min("p1").alias("pa"), F.min("p2").alias("pb"))
+    need = F.least(F.lit(SHARED), F.ceil(F.col("na") * percent / 100), F.ceil(F.col("nb") * percent / 100))
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return p.filter((F.col("c") >= need) & ((100 + percent) * room >= percent * (F.col("na") + F.col("nb")))).select("a", "b")
+
+
 def _sets(n: int):
     def run(batches):
         import pyarrow as pa
@@ -261,14 +313,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percen
     ids = wanted.select("_rep").distinct()
     texts = rows.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, rows["doc_id"].eqNullSafe(ids["_rep"]), "left_semi")
     sets = texts.select("text").mapInArrow(_sets(n), "sid long, s array<long>").groupBy("sid").agg(F.first("s").alias("s"))
-    sets = checkpointed(sets.join(wanted.select("sid"), "sid", "left_semi"))
+    sets = released(written(sets.join(wanted.select("sid"), "sid", "left_semi")))
     x, y = sets.select(F.col("sid").alias("a"), F.col("s").alias("x")), sets.select(F.col("sid").alias("b"), F.col("s").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     hit = both * 100 >= percent * (F.size("x") + F.size("y") - both)
     return pairs.join(x, "a").join(y, "b").filter(hit).select("a", "b")
 
 
-def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 16, most_frequent: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -281,33 +333,35 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
     often.sort(key=lambda r: r.token & ((1 << 64) - 1))
     frequent = (np.array([r.token for r in often], dtype=np.int64).view(np.uint64), np.array([r.c for r in often], dtype=np.int64))
     index = rows.select("text").mapInArrow(_index(spark.sparkContext.broadcast(frequent), n, percent), "token long, sid long, n int, pos int")
-    lists = index.repartition("token").sortWithinPartitions("token", "n", "sid").mapInArrow(_shared, "token long, sid long, n int, pos int")
-    lists = checkpointed(lists)
-    # The fewer of a set's prefix shingles are its own, the better a leader it makes.
-    rank = lists.groupBy("sid").agg((F.count(F.lit(1)) / F.max("n")).alias("rank"))
-    comp, links, done = None, None, None
-    for step in ("leaders", "linked leaders", "all"):
-        now = lists.join(rank, "sid")
-        now = now.join(comp, now["sid"] == comp["node"], "left").withColumn("comp", F.coalesce("comp", "sid")) if comp is not None else now.withColumn("comp", F.col("sid"))
-        if comp is not None:
-            now = checkpointed(now.select("token", "sid", "n", "pos", "comp", "rank"))
-            mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-            now = now.join(mixed, "token", "left_semi")
-        now = now.select("token", "sid", "n", "pos", "comp", "rank").repartition("token").sortWithinPartitions("token", "n", "sid")
-        pairs = now.mapInArrow(_pairs(percent, step == "all"), "a long, b long").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        if pairs.isEmpty():
-            continue
-        done = pairs if done is None else done.unionByName(pairs)
-        found = _verified(pairs, rows, reps, n, percent)
-        links = checkpointed(found if links is None else links.unionByName(found))
+    lists = released(written(index.repartition("token").sortWithinPartitions("token", "n", "sid").mapInArrow(_lists(percent), KIND)))
+    del index
+    short = lists.filter("kind = 1")
+    long = lists.filter("kind = 0").select(F.col("x").alias("token"), F.col("y").alias("sid"), F.col("n1").alias("n"), F.col("p1").alias("pos"))
+    pairs = checkpointed(_worth(short, percent).unionByName(lists.filter("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct())
+    done, links, comp = pairs, checkpointed(_verified(pairs, rows, reps, n, percent)), None
+    for step in ("linked leaders", "all"):
+        comp = checkpointed(components(links))
+        if long.isEmpty():
+            break
+        degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count(F.lit(1)).cast("double").alias("rank"))
+        known = checkpointed(comp.join(degree, comp["node"] == degree["s"]).select("node", "comp", "rank"))
+        now = long.join(known, long["sid"] == known["node"], "left").select("token", "sid", "n", "pos", F.coalesce("comp", "sid").alias("comp"), F.coalesce("rank", F.lit(0.0)).alias("rank"))
+        mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
+        now = now.join(mixed, "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "sid")
+        found = now.mapInArrow(_pairs(percent, step == "all"), KIND)
+        if step == "all":
+            # A pair may share places in short lists too.
+            both = found.select("x", "y").distinct()
+            found = _worth(found.unionByName(short.join(both, ["x", "y"], "left_semi").select(*found.columns)), percent)
+        else:
+            found = found.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        pairs = checkpointed(found.join(done, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            done = done.unionByName(pairs)
+            links = released(checkpointed(links.unionByName(_verified(pairs, rows, reps, n, percent))))
+            comp = None
+    if comp is None:
         comp = checkpointed(components(links))
-        if step != "all":
-            ends = links.select(F.col("a").alias("sid")).union(links.select("b"))
-            rank = ends.groupBy("sid").agg(F.count(F.lit(1)).cast("double").alias("rank"))
-            rank = checkpointed(lists.select("sid").distinct().join(rank, "sid", "left").select("sid", F.coalesce("rank", F.lit(0.0)).alias("rank")))
     whole = classes if comp is None else classes.join(comp, classes["sid"] == comp["node"], "left")
     group = F.col("sid") if comp is None else F.coalesce("comp", "sid")
     whole = whole.select("doc_id", "n", group.alias("group"))
