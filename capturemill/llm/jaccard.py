@@ -7,7 +7,7 @@ frequent last (the sample affects the cost alone; the result is exact for any or
 place, so that whole blocks whose size or place rules a match out are skipped.
 
 The prefix is longer by ``SHARED - 1`` places, so a match shares ``SHARED`` places of it (fewer if the set is that
-small), and a pair that shares fewer, or whose first shared places leave too little, is not compared.
+small). A pair whose shared places, with all that lies beyond the prefixes, can't make a match is not compared.
 
 Set relations save the rest. Lists of up to ``SHORT`` sets are joined at once. In a longer list each member is first
 compared with one leader of its size block, the member with the fewest rarer shingles before the list's. A set that is
@@ -254,12 +254,25 @@ def _pairs(percent: int, all_pairs: bool):
     return run
 
 
-def _worth(pairs: DataFrame, percent: int) -> DataFrame:
-    """Sums of pairs by their ends; of these the ones that share enough places and have room for a match."""
+def _worth(pairs: DataFrame, percent: int, least: int | None = None) -> DataFrame:
+    """Sums of pairs by their ends; of these the ones that can match.
+
+    What two sets share is in both prefixes, or beyond the prefix of the one whose prefix ends first. So the shared places and the
+    longer rest of the two are at least what a match needs, and there is room from the first shared place on. ``least`` replaces
+    the first test by a number of shared places, for leaders, who aren't met in every list.
+    """
     p = pairs.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("c").alias("c"), F.min("n1").alias("na"), F.min("n2").alias("nb"), F.min("p1").alias("pa"), F.min("p2").alias("pb"))
-    need = F.least(F.lit(SHARED), F.ceil(F.col("na") * percent / 100), F.ceil(F.col("nb") * percent / 100))
+
+    def kept(n: str):
+        return F.ceil(F.col(n) * percent / 100)
+
+    rest = F.greatest(*[kept(n) - F.least(F.lit(SHARED), kept(n)) for n in ("na", "nb")])
+    enough = (100 + percent) * (F.col("c") + rest) >= percent * (F.col("na") + F.col("nb"))
+    enough = enough & (F.col("c") >= F.least(F.lit(SHARED), kept("na"), kept("nb")))
+    if least is not None:
+        enough = F.col("c") >= F.least(F.lit(least), kept("na"), kept("nb"))
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return p.filter((F.col("c") >= need) & ((100 + percent) * room >= percent * (F.col("na") + F.col("nb")))).select("a", "b")
+    return p.filter(enough & ((100 + percent) * room >= percent * (F.col("na") + F.col("nb")))).select("a", "b")
 
 
 def _sets(n: int):
@@ -312,8 +325,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percen
     count = wanted.count()
     ids = wanted.select("_rep").distinct()
     texts = rows.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, rows["doc_id"].eqNullSafe(ids["_rep"]), "left_semi")
-    sets = texts.select("text").mapInArrow(_sets(n), "sid long, s array<long>").groupBy("sid").agg(F.first("s").alias("s"))
-    sets = released(written(sets.join(wanted.select("sid"), "sid", "left_semi")))
+    # One text stands for each set; should its id be repeated, a set or a link is listed twice, which changes nothing.
+    sets = written(texts.select("text").mapInArrow(_sets(n), "sid long, s array<long>"))
     x, y = sets.select(F.col("sid").alias("a"), F.col("s").alias("x")), sets.select(F.col("sid").alias("b"), F.col("s").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     hit = both * 100 >= percent * (F.size("x") + F.size("y") - both)
@@ -337,7 +350,7 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
     del index
     short = lists.filter("kind = 1")
     long = lists.filter("kind = 0").select(F.col("x").alias("token"), F.col("y").alias("sid"), F.col("n1").alias("n"), F.col("p1").alias("pos"))
-    pairs = checkpointed(_worth(short, percent).unionByName(lists.filter("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct())
+    pairs = checkpointed(_worth(short, percent).unionByName(_worth(lists.filter("kind = 2"), percent, 3)).distinct())
     done, links, comp = pairs, checkpointed(_verified(pairs, rows, reps, n, percent)), None
     for step in ("linked leaders", "all"):
         comp = checkpointed(components(links))
@@ -354,7 +367,7 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
             both = found.select("x", "y").distinct()
             found = _worth(found.unionByName(short.join(both, ["x", "y"], "left_semi").select(*found.columns)), percent)
         else:
-            found = found.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+            found = _worth(found, percent, 3)
         pairs = checkpointed(found.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
