@@ -1,4 +1,4 @@
-"""Resolving competing captures of one key."""
+"""Resolving competing captures: admission, latest wins, preference with retraction, rollups."""
 
 from __future__ import annotations
 
@@ -9,3 +9,67 @@ from pyspark.sql import functions as F
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by ``order``, which must be total within a key."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")
+
+
+def latest_group(df: DataFrame, group: list[str], capture: list[str]) -> DataFrame:
+    """All rows of each group's newest capture; a capture is identified by the columns ``capture``, newest last.
+
+    The newest capture comes from one pre-summed maximum for a group, not from a window over all rows.
+    """
+    newest = df.groupBy(*group).agg(F.max(F.struct(*capture)).alias("_newest"))
+    same = F.struct(*capture).eqNullSafe(F.col("_newest"))
+    return df.join(newest, group).filter(same).drop("_newest")
+
+
+def first_reason(reasons: list[tuple[str, Column]]) -> Column:
+    """The name of the first condition that holds; null if none does. A null condition doesn't hold."""
+    out = F.lit(None).cast("string")
+    for name, condition in reversed(reasons):
+        out = F.when(condition, F.lit(name)).otherwise(out)
+    return out
+
+
+def admit(index: DataFrame, runs: DataFrame, origins: DataFrame, production: list[str], seed_production: list[str]) -> DataFrame:
+    """Mark each capture of the index with the first reason not to read it, and whether it is admitted.
+
+    ``index``: capture_key, run_id, usable, season, scope; ``runs``: run_id, origin_kind (finalised runs only);
+    ``origins``: run_id, origin_kind of runs without a manifest of their own.
+    """
+    r = runs.select("run_id", F.col("origin_kind").alias("run_kind"), F.lit(True).alias("finalized"))
+    o = origins.select("run_id", F.col("origin_kind").alias("seed_kind"))
+    j = index.join(r, "run_id", "left").join(o, "run_id", "left")
+    known = F.coalesce("run_kind", "seed_kind")
+    reason = first_reason([
+        ("run_not_finalized", F.col("finalized").isNull() & ~F.col("seed_kind").eqNullSafe("history_port") & (F.col("scope") == "live")),
+        ("origin_unknown", known.isNull()),
+        ("not_production", F.col("run_kind").isNotNull() & ~F.col("run_kind").isin(production)),
+        ("not_production_seed", F.col("run_kind").isNull() & ~F.col("seed_kind").isin(seed_production)),
+        ("unusable", ~F.coalesce(F.col("usable"), F.lit(False))),
+        ("null_season", F.col("season").isNull()),
+    ])
+    return j.withColumn("reason", reason).withColumn("admitted", F.col("reason").isNull()).select(*index.columns, "reason", "admitted")
+
+
+def retract(df: DataFrame, entity: list[str], key: list[str], capture: list[str]) -> DataFrame:
+    """Rows whose key is in its entity's newest capture; keys gone from it are dropped with all their captures."""
+    current = latest_group(df.select(*dict.fromkeys([*entity, *key, *capture])), entity, capture).select(*key).distinct()
+    return df.join(current, key, "left_semi")
+
+
+def prefer(df: DataFrame, key: list[str], preferred: Column, newest: list[Column]) -> DataFrame:
+    """One row per key: preferred rows first, then newest first."""
+    return latest(df.withColumn("_pref", F.coalesce(preferred, F.lit(False))), key, [F.desc("_pref"), *newest]).drop("_pref")
+
+
+def all_then_any(df: DataFrame, outer: list[str], inner: list[str], good: Column, name: str) -> DataFrame:
+    """True for an outer key when in any of its inner groups all rows are good; null counts as false at the end."""
+    each = df.groupBy(*outer, *inner).agg(F.bool_and(good).alias("_all"))
+    return each.groupBy(*outer).agg(F.coalesce(F.bool_or("_all"), F.lit(False)).alias(name))
+
+
+def before_moment_else_earliest(df: DataFrame, keys: list[str], time: str, tie: str, moment: str, flag: str = "is_before") -> DataFrame:
+    """The last row strictly before its moment, else the earliest; a null moment makes every row "before"."""
+    before = F.col(moment).isNull() | (F.col(time) < F.col(moment))
+    d = df.withColumn(flag, before)
+    order = [F.desc(flag), F.when(F.col(flag), F.col(time)).desc_nulls_last(), F.when(F.col(flag), F.col(tie)).desc_nulls_last(), F.asc(time), F.asc(tie)]
+    return latest(d, keys, order)
