@@ -1,0 +1,64 @@
+"""Guarded publish: floors by season, counts that don't fall, a versioned output contract, the manifest last."""
+
+from __future__ import annotations
+
+import json
+import shutil
+import uuid
+from pathlib import Path
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def floor_failures(actual: dict, expected: dict, tolerance: float, exact: bool = False) -> list[str]:
+    """Seasons with fewer rows than expected less the tolerance; with ``exact`` any other number fails."""
+    out = []
+    for season, want in sorted(expected.items()):
+        have = actual.get(season, 0)
+        if (exact and have != want) or have < int(want * (1 - tolerance)):
+            out.append(f"{season}: {have} rows, expected {want}")
+    return out
+
+
+def falling_counts(now: dict, before: dict, restated: set = frozenset()) -> list[str]:
+    """Seasons with fewer rows than in the publish before, unless restated."""
+    return [f"{s}: {now.get(s, 0)} rows, before {n}" for s, n in sorted(before.items()) if now.get(s, 0) < n and s not in restated]
+
+
+def contract_failures(previous: dict | None, version: int, columns: dict[str, list[list[str]]]) -> list[str]:
+    """The version never falls, and under one version old columns are the beginning of the new ones, with their types."""
+    if not previous:
+        return []
+    if version < previous["contract_version"]:
+        return [f"version {version} is below {previous['contract_version']}"]
+    if version > previous["contract_version"]:
+        return []
+    return [f"{t}: columns changed under one version" for t, old in previous["columns"].items() if columns.get(t, [])[: len(old)] != old]
+
+
+def publish(tables: dict[str, DataFrame], expected: dict[str, dict], dest: str, version: int, tolerance: float = 0.02, exact: set = frozenset(), restated: set = frozenset(), season: str = "season") -> list[str]:
+    """Write, read back and check all tables, then put them in place, the manifest last. Failures change nothing at ``dest``."""
+    target, stage = Path(dest), Path(dest).parent / f".{uuid.uuid4().hex}"
+    last = target / "manifest.json"
+    previous = json.loads(last.read_text()) if last.exists() else None
+    failures, counts, columns = [], {}, {}
+    try:
+        for name, df in tables.items():
+            df.coalesce(1).write.option("compression", "zstd").parquet(str(stage / name))
+            back = df.sparkSession.read.parquet(str(stage / name))
+            counts[name] = {str(r[season]): r["n"] for r in back.groupBy(season).agg(F.count(F.lit(1)).alias("n")).collect()}
+            columns[name] = [list(x) for x in back.dtypes]
+            failures += [f"{name} {x}" for x in floor_failures(counts[name], {str(k): v for k, v in expected[name].items()}, tolerance, name in exact)]
+            if previous and name in previous["row_counts_by_season"]:
+                failures += [f"{name} {x}" for x in falling_counts(counts[name], previous["row_counts_by_season"][name], restated)]
+        failures += contract_failures(previous, version, columns)
+        if not failures:
+            target.mkdir(parents=True, exist_ok=True)
+            for name in tables:
+                shutil.rmtree(target / name, ignore_errors=True)
+                (stage / name).rename(target / name)
+            last.write_text(json.dumps({"contract_version": version, "columns": columns, "row_counts_by_season": counts}))
+    finally:
+        shutil.rmtree(stage, ignore_errors=True)
+    return failures
