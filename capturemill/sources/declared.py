@@ -33,7 +33,7 @@ def read_captures(spark: SparkSession, paths: list[str], fields: Declaration, st
         return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(paths).select("*", F.col("_metadata.file_path").alias("path"))
     broken = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     df = spark.read.schema(broken).option("multiLine", True).option("mode", "PERMISSIVE").json(paths)
-    return df.select("*", F.col("_metadata.file_path").alias("path")).filter("_corrupt_record is null").drop("_corrupt_record")
+    return df.select("*", F.col("_metadata.file_path").alias("path")).filter(F.col("_corrupt_record").isNull() & (F.to_json(F.struct(*fields)) != "")).drop("_corrupt_record")  # Spark refuses a read of the corrupt column alone
 
 
 def declared_records(df: DataFrame, fields: Declaration, path: str, keep: list[str]) -> DataFrame:
