@@ -15,6 +15,8 @@ similar to its leader takes over the leader's answer, the component; as only com
 component is compared any more. Lists whose members are of one component by then are done. The others are gone through
 again: first with the most linked members as leaders, then all pairs of different components, without exception. So no
 link between components is missed, and a group of copies costs a number of comparisons in proportion to its members.
+The last step deals a list of more than ``BLOCK`` sets out to pairs of blocks, so that no list is worked in one task, and
+leaves out pairs whose bitmaps (parities of the shingles by place) differ in more bits than the sets may differ in shingles.
 
 Sizes of what moves: a quarter of the shingles go into the index, once. The frequent shingles that are broadcast are
 ``most_frequent`` at most; the ids of texts to be compared are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond.
@@ -34,6 +36,8 @@ from .common import checkpointed, gram_hashes, mix, released, text_bytes, word_h
 BROADCAST_IDS = 2_000_000
 #: Sets in a list whose pairs are all made at once, and prefix places that a match must share.
 SHORT, SHARED = 8, 5
+#: Bits of the bitmap of a set of up to as many shingles, and of larger sets; sets in a block of a list.
+SMALL_BITS, BITS, BLOCK = 256, 1024, 4096
 
 
 def shingles(text: bytes, n: int = 5) -> np.ndarray:
@@ -52,13 +56,31 @@ def _key(s: np.ndarray) -> int:
         return int((mix(s).sum() ^ mix(np.bitwise_xor.reduce(s) + np.uint64(len(s)))).astype(np.int64)) if len(s) else 0
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Parities of the numbers of a set's shingles by place. Two sets differ in as many shingles at least as their bitmaps do in bits."""
+    width = SMALL_BITS if len(s) <= SMALL_BITS else BITS
+    odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _bitmaps(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps as rows of 64-bit numbers: of all sets folded to the small width, and the wide ones (zero for small sets)."""
+    small, big = SMALL_BITS // 8, BITS // 8
+    wide = np.array([len(v) > small for v in column], dtype=bool)
+    raw = np.zeros((len(column), big), dtype=np.uint8)
+    raw[wide] = np.frombuffer(b"".join(v for v in column if len(v) > small), dtype=np.uint8).reshape(-1, big)
+    low = np.bitwise_xor.reduce(raw.reshape(len(column), -1, small), axis=1)
+    low[~wide] = np.frombuffer(b"".join(v for v in column if len(v) <= small), dtype=np.uint8).reshape(-1, small)
+    return np.ascontiguousarray(low).view(np.uint64), raw.view(np.uint64)
+
+
 def _classes(n: int):
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             sets = [shingles(t, n) for t in text_bytes(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.int64())], names=["doc_id", "n", "sid"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary())], names=["doc_id", "n", "sid", "bits"])
 
     return run
 
@@ -219,28 +241,51 @@ def _led(n, pos, rank, percent: int, offset: int = 0) -> list[tuple[int, int]]:
     return out
 
 
-def _pairs(percent: int, all_pairs: bool):
-    """Pairs of different components from long lists ``token, sid, n, pos, comp, rank`` sorted by token, size and set.
-
-    All pairs: from a place on in the order of sizes no partner can be large enough, and the rest of the list is skipped.
-    """
+def _leader_pairs(percent: int):
+    """Pairs of different components with their leaders, from lists ``token, sid, n, pos, comp, rank`` sorted by token, size and set."""
 
     def run(batches):
         for cols, edges in _runs(batches, 6):
             _, sid, n, pos, comp, rank = cols
-            found, waiting = [], 0
+            found = []
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if (comp[s:e] == comp[s]).all():
                     continue
-                if not all_pairs:
-                    x = np.array(_led(n[s:e], pos[s:e], rank[s:e], percent, s), dtype=np.int64).reshape(-1, 2)
-                    x = x[comp[x[:, 0]] != comp[x[:, 1]]]
-                    found.append(_ordered(*(c[x[:, k]] for c in (sid, n, pos) for k in (0, 1))))
+                x = np.array(_led(n[s:e], pos[s:e], rank[s:e], percent, s), dtype=np.int64).reshape(-1, 2)
+                x = x[comp[x[:, 0]] != comp[x[:, 1]]]
+                found.append(_ordered(*(c[x[:, k]] for c in (sid, n, pos) for k in (0, 1))))
+            if found:
+                yield _batch(1, *_summed_pairs(found))
+
+    return run
+
+
+def _all_pairs(percent: int):
+    """Pairs of different components, from lists ``key, sid, n, pos, comp, block, other, bits`` sorted by key, size and set.
+
+    A list has the sets of ``block`` and of ``other``; pairs within a block are made where the two are one. From a place on in the
+    order of sizes no partner can be large enough, and the rest of the list is skipped. So are pairs whose bitmaps differ too much.
+    """
+
+    def run(batches):
+        found, waiting = [], 0
+        for cols, edges in _runs(batches, 8):
+            _, sid, n, pos, comp, block, other, bits = cols
+            low, high = _bitmaps(bits)
+            n = n.astype(np.int64)
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if (comp[s:e] == comp[s]).all():
                     continue
+                last = s + np.searchsorted(n[s:e], 100 * n[s:e] // percent, side="right")
                 for i in range(s, e):
-                    j = s + int(np.searchsorted(n[s:e], 100 * int(n[i]) // percent, side="right"))
-                    y = np.arange(i + 1, j)
-                    y = y[comp[y] != comp[i]]
+                    j = int(last[i - s])
+                    y = i + 1 + np.flatnonzero((comp[i + 1 : j] != comp[i]) & ((block[i + 1 : j] != block[i]) | (block[i] == other[i])))
+                    if not len(y):
+                        continue
+                    of = high if n[i] > SMALL_BITS else low
+                    both = n[i] + n[y]
+                    may = both - 2 * -(-percent * both // (100 + percent))
+                    y = y[np.bitwise_count(of[y] ^ of[i]).sum(axis=1) <= may]
                     if len(y):
                         x = np.full(len(y), i)
                         found.append(_ordered(*(c[k] for c in (sid, n, pos) for k in (x, y))))
@@ -248,8 +293,8 @@ def _pairs(percent: int, all_pairs: bool):
                     if waiting > 500_000:
                         yield _batch(1, *_summed_pairs(found))
                         found, waiting = [], 0
-            if found:
-                yield _batch(1, *_summed_pairs(found))
+        if found:
+            yield _batch(1, *_summed_pairs(found))
 
     return run
 
@@ -338,7 +383,7 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    classes = checkpointed(rows.mapInArrow(_classes(n), f"doc_id {kind}, n long, sid long"))
+    classes = checkpointed(rows.mapInArrow(_classes(n), f"doc_id {kind}, n long, sid long, bits binary"))
     reps = classes.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     # The order of shingles: what a sample of texts has often comes last.
     some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0).select("text")
@@ -359,15 +404,21 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
         degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count(F.lit(1)).cast("double").alias("rank"))
         known = checkpointed(comp.join(degree, comp["node"] == degree["s"]).select("node", "comp", "rank"))
         now = long.join(known, long["sid"] == known["node"], "left").select("token", "sid", "n", "pos", F.coalesce("comp", "sid").alias("comp"), F.coalesce("rank", F.lit(0.0)).alias("rank"))
-        mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-        now = now.join(mixed, "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "sid")
-        found = now.mapInArrow(_pairs(percent, step == "all"), KIND)
+        mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets")).filter("lo <> hi").select("token", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks"))
         if step == "all":
+            now = now.join(mixed, "token").drop("rank").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+            now = now.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            now = now.withColumn("key", F.xxhash64("token", F.least("own", "with"), F.greatest("own", "with")))
+            # Equal keys of different lists would only add pairs, and these are compared in full.
+            now = now.join(classes.filter("n > 0").groupBy("sid").agg(F.first("bits").alias("bits")), "sid")
+            now = now.select("key", "sid", "n", "pos", "comp", F.col("own").alias("block"), F.col("with").alias("other"), "bits").repartition("key").sortWithinPartitions("key", "n", "sid")
+            found = now.mapInArrow(_all_pairs(percent), KIND)
             # A pair may share places in short lists too.
             both = found.select("x", "y").distinct()
             found = _worth(found.unionByName(short.join(both, ["x", "y"], "left_semi").select(*found.columns)), percent)
         else:
-            found = _worth(found, percent, 3)
+            now = now.join(mixed.select("token"), "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "sid")
+            found = _worth(now.mapInArrow(_leader_pairs(percent), KIND), percent, 3)
         pairs = checkpointed(found.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
