@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import WORD, checkpointed
 
 _EPS = 1e-9
+#: Sources that are broadcast at most, and the parts that a source's rows are joined in beyond that.
+BROADCAST_SOURCES, PARTS = 10_000, 64
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -114,6 +116,15 @@ def _reduce(seed: int, level: int, last: bool):
     return run
 
 
+def _with_source(rows: DataFrame, per: DataFrame, few: bool) -> DataFrame:
+    """Rows with what holds for their source (``_s``). Few sources are broadcast; of many, each is joined in ``PARTS`` parts, so that no source's rows meet in one task."""
+    if few:
+        return rows.join(F.broadcast(per), rows["source"].eqNullSafe(per["_s"]))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("doc_id", "size"), F.lit(PARTS)))
+    parts = per.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    return dealt.join(parts, dealt["source"].eqNullSafe(parts["_s"]) & (dealt["_part"] == parts["_p"])).drop("_part", "_p")
+
+
 def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None, **targets) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs``."""
     if size is None:
@@ -123,11 +134,13 @@ def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str
     goal = checkpointed(source_targets(rows, **targets))
     n = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     per = goal.join(n, goal["source"].eqNullSafe(n["source"])).select(goal["source"].alias("_s"), "source_size", "target", F.ceil(F.col("n") / leaf).cast("long").alias("leaves"))
-    most = per.agg(F.max("leaves")).first()[0] or 1
+    per = checkpointed(per)
+    most, sources = per.agg(F.max("leaves"), F.count(F.lit(1))).first()
+    most, few = most or 1, sources <= BROADCAST_SOURCES
     p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(p + _EPS)
     part = F.when(F.col("size") > 0, F.greatest(p - whole, F.lit(0.0))).otherwise(0.0)
-    placed = rows.join(per, rows["source"].eqNullSafe(per["_s"]))
+    placed = _with_source(rows, per, few)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, size long, part double, copies long, source string, leaf long"
     now = placed.select("doc_id", "size", part.cast("double").alias("part"), whole.cast("long").alias("copies"), "source", F.pmod(F.xxhash64("doc_id", "size"), F.col("leaves")).cast("long").alias("leaf"))
@@ -145,7 +158,7 @@ def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str
         now = now.filter(F.col("part") > _EPS).withColumn("leaf", F.floor(F.col("leaf") / leaf).cast("long"))
         most, level = -(-most // leaf), level + 1
     at = per.select("_s", "source_size", "target")
-    out = out.join(at, out["source"].eqNullSafe(at["_s"]))
+    out = _with_source(out, at, few)
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -63,6 +63,34 @@ def test_jaccard_of_a_large_group_of_copies(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_jaccard_lists_in_blocks(spark, monkeypatch):
+    """Many unlike texts with one passage: their long lists are dealt to blocks, and near copies among them are found."""
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    passage = _text(3, 30)
+    texts = {i: passage + " " + " ".join(f"w{i}x{k}" for k in range(i % 9)) for i in range(60)}
+    texts |= {100 + i: passage + " " + " ".join(f"v{i // 2}x{k}" for k in range(40 if i % 2 else 43)) for i in range(40)}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, _words(t)) for i, t in texts.items())}
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                lo, hi = sorted((root[i], root[j]))
+                root = {k: lo if r == hi else r for k, r in root.items()}
+    got = jaccard.similar_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == root
+
+
+def test_jaccard_bitmaps_bound_the_difference():
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    for a, b in ((40, 44), (200, 300), (900, 1100), (5000, 6000)):
+        x, y = (np.unique(np.concatenate((np.arange(k // 2, dtype=np.uint64) * np.uint64(7919), draw.integers(0, 1 << 60, k - k // 2).astype(np.uint64)))) for k in (a, b))
+        low, high = jaccard._bitmaps(np.array([jaccard.bitmap(x), jaccard.bitmap(y)], dtype=object))
+        for of in (low, high) if len(x) > 256 else (low,):
+            assert np.bitwise_count(of[0] ^ of[1]).sum() <= len(np.setxor1d(x, y))
+
+
 def test_jaccard_empty_table(spark):
     assert jaccard.similar_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -178,6 +206,12 @@ def test_mixing_targets_and_taken(docs):
     assert mixing.apply_mix(docs).count() == sum(r.copies for r in got)
 
 
+def test_mixing_of_many_sources_is_the_same(docs, monkeypatch):
+    want = sorted(map(str, mixing.mix_documents(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mixing.mix_documents(docs).collect())) == want
+
+
 def test_secret_layers_map_back():
     key = 'password = "hunter2hunter2"'
     b64 = base64.b64encode(key.encode()).decode()
