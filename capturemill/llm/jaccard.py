@@ -15,8 +15,8 @@ similar to its leader takes over the leader's answer, the component; as only com
 component is compared any more. Lists whose members are of one component by then are done. The others are gone through
 again: first with the most linked members as leaders, then all pairs of different components, without exception. So no
 link between components is missed, and a group of copies costs a number of comparisons in proportion to its members.
-The last step deals a list of more than ``BLOCK`` sets out to pairs of blocks, so that no list is worked in one task, and
-leaves out pairs whose bitmaps (parities of the shingles by place) differ in more bits than the sets may differ in shingles.
+The last step deals a list of more than ``BLOCK`` sets out to pairs of blocks, so that no list is worked in one task; puts lists
+with one most linked component side by side, as they have mostly the same pairs, which are then summed at once; and leaves out pairs whose bitmaps (parities of the shingles by place) differ in more bits than the sets may differ in shingles.
 
 Sizes of what moves: a quarter of the shingles go into the index, once. The frequent shingles that are broadcast are
 ``most_frequent`` at most; the ids of texts to be compared are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond.
@@ -38,6 +38,8 @@ BROADCAST_IDS = 2_000_000
 SHORT, SHARED = 8, 5
 #: Bits of the bitmap of a set of up to as many shingles, and of larger sets; sets in a block of a list.
 SMALL_BITS, BITS, BLOCK = 256, 1024, 4096
+#: Rows of the lists that one key of the last step has, about.
+KEY_ROWS = 200_000
 
 
 def shingles(text: bytes, n: int = 5) -> np.ndarray:
@@ -176,6 +178,15 @@ def _summed_pairs(rows: list[tuple]):
     return a[at], b[at], na[at], nb[at], pa_[at], pb[at], np.diff(np.append(at, len(a)))
 
 
+def _merged(rows: list[tuple]) -> tuple:
+    """Pairs with sums, of which equal ones are made one: least places and summed counts."""
+    a, b, na, nb, pa_, pb, c = (np.concatenate(x) for x in zip(*rows, strict=True))
+    order = np.lexsort((pa_, b, a))
+    a, b, na, nb, pa_, pb, c = (v[order] for v in (a, b, na, nb, pa_, pb, c))
+    at = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    return a[at], b[at], na[at], nb[at], pa_[at], np.minimum.reduceat(pb, at), np.add.reduceat(c, at)
+
+
 def _ordered(a, b, na, nb, pa_, pb):
     swap = a > b
     return np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb), np.where(swap, pb, pa_), np.where(swap, pa_, pb)
@@ -261,7 +272,7 @@ def _leader_pairs(percent: int):
 
 
 def _all_pairs(percent: int):
-    """Pairs of different components, from lists ``key, sid, n, pos, comp, block, other, bits`` sorted by key, size and set.
+    """Pairs of different components, from lists ``list, sid, n, pos, comp, block, other, bits`` sorted by list, size and set.
 
     A list has the sets of ``block`` and of ``other``; pairs within a block are made where the two are one. From a place on in the
     order of sizes no partner can be large enough, and the rest of the list is skipped. So are pairs whose bitmaps differ too much.
@@ -288,13 +299,16 @@ def _all_pairs(percent: int):
                     y = y[np.bitwise_count(of[y] ^ of[i]).sum(axis=1) <= may]
                     if len(y):
                         x = np.full(len(y), i)
-                        found.append(_ordered(*(c[k] for c in (sid, n, pos) for k in (x, y))))
+                        found.append((*_ordered(*(c[k] for c in (sid, n, pos) for k in (x, y))), np.ones(len(y), dtype=np.int64)))
                         waiting += len(y)
                     if waiting > 500_000:
-                        yield _batch(1, *_summed_pairs(found))
-                        found, waiting = [], 0
+                        found = [_merged(found)]
+                        waiting = len(found[0][0])
+                        if waiting > 250_000:
+                            yield _batch(1, *found[0])
+                            found, waiting = [], 0
         if found:
-            yield _batch(1, *_summed_pairs(found))
+            yield _batch(1, *_merged(found))
 
     return run
 
@@ -404,15 +418,20 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
         degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count(F.lit(1)).cast("double").alias("rank"))
         known = checkpointed(comp.join(degree, comp["node"] == degree["s"]).select("node", "comp", "rank"))
         now = long.join(known, long["sid"] == known["node"], "left").select("token", "sid", "n", "pos", F.coalesce("comp", "sid").alias("comp"), F.coalesce("rank", F.lit(0.0)).alias("rank"))
-        mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets")).filter("lo <> hi").select("token", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks"))
+        mixed = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets")).filter("lo <> hi").select("token", "sets", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks"))
         if step == "all":
-            now = now.join(mixed, "token").drop("rank").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+            # Lists are owned by the component of their most linked set.
+            whose = now.groupBy("token").agg(F.max_by("comp", F.struct("rank", "comp")).alias("owner")).join(mixed, "token")
+            parts = checkpointed(whose.groupBy("owner").agg(F.ceil(F.sum("sets") / KEY_ROWS).cast("int").alias("parts")))
+            whose = whose.join(parts, "owner").select("token", "owner", "blocks", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
+            now = now.join(whose, "token").drop("rank").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
             now = now.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            now = now.withColumn("key", F.xxhash64("token", F.least("own", "with"), F.greatest("own", "with")))
-            # Equal keys of different lists would only add pairs, and these are compared in full.
+            ends = [F.least("own", "with"), F.greatest("own", "with")]
+            now = now.withColumn("key", F.xxhash64("owner", "part", *ends)).withColumn("list", F.xxhash64("token", *ends))
+            # Equal numbers of different lists would only add pairs, and these are compared in full.
             now = now.join(classes.filter("n > 0").groupBy("sid").agg(F.first("bits").alias("bits")), "sid")
-            now = now.select("key", "sid", "n", "pos", "comp", F.col("own").alias("block"), F.col("with").alias("other"), "bits").repartition("key").sortWithinPartitions("key", "n", "sid")
-            found = now.mapInArrow(_all_pairs(percent), KIND)
+            now = now.repartition("key").sortWithinPartitions("key", "list", "n", "sid").select("list", "sid", "n", "pos", "comp", F.col("own").alias("block"), F.col("with").alias("other"), "bits")
+            found = written(now.mapInArrow(_all_pairs(percent), KIND))
             # A pair may share places in short lists too.
             both = found.select("x", "y").distinct()
             found = _worth(found.unionByName(short.join(both, ["x", "y"], "left_semi").select(*found.columns)), percent)
