@@ -42,6 +42,17 @@ def _rest(text: Column, keep: str) -> Column:
     return F.regexp_replace(text, f"[^{inner}]++", "")
 
 
+def _letter(word: Column) -> Column:
+    """The letter of a common word, looked up among those of its length; of any other word the empty text."""
+    size, found = F.length(word), None
+    for k in sorted({len(w) for w in WORDS}):
+        of = [w for w in WORDS if len(w) == k]
+        code, letter = F.array(*[F.lit(w) for w in of]), F.array(F.lit(""), *[F.lit(_LETTERS[1 + WORDS.index(w)]) for w in of])
+        at = F.get(letter, F.array_position(code, word).cast("int"))
+        found = F.when(size == k, at) if found is None else found.when(size == k, at)
+    return found.otherwise("")
+
+
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, label, base counts and the two histograms."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -51,9 +62,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     n = F.size("w")
     # Windows as hashes of three words, each with its place, in the order of the hashes.
     window = F.transform(F.slice("w", 3, F.greatest(n - 2, F.lit(0))), lambda x, i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), x).alias("h"), i.alias("i")))
-    code = F.array(*[F.lit(w) for w in WORDS])
-    letter = F.array(*[F.lit(x) for x in _LETTERS])
-    letters = F.transform("w", lambda x: F.get(letter, F.array_position(code, F.lower(F.rtrim(x, F.lit(".,")))).cast("int")))
+    letters = F.transform(F.transform("w", lambda x: F.lower(F.rtrim(x, F.lit(".,")))), _letter)
     out = out.select(
         "doc_id",
         "lang",
