@@ -53,6 +53,12 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def n_words(text: Column) -> Column:
+    """The number of words (null: 0), without an array of them: each word and the space after it become one character."""
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.coalesce(F.length(F.regexp_replace(trimmed, WORD + "+" + SPACES.replace("]+", "]*+"), "x")), F.lit(0)).cast("long")
+
+
 def crc_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

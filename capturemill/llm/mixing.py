@@ -22,7 +22,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpointed
+from .common import checkpointed, n_words
 
 _EPS = 1e-9
 #: Sources that are broadcast at most, and the parts that a source's rows are joined in beyond that.
@@ -128,7 +128,7 @@ def _with_source(rows: DataFrame, per: DataFrame, few: bool) -> DataFrame:
 def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None, **targets) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs``."""
     if size is None:
-        size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD + "+")), F.lit(0))
+        size = n_words(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.cast("long").alias("size"))
     rows = checkpointed(rows)
     goal = checkpointed(source_targets(rows, **targets))
@@ -165,11 +165,11 @@ def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str
 def apply_mix(docs: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Rows equal in id, source and size share their copies."""
     mixed = mix_documents(docs, **kw)
-    share = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size")).agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_n")).filter("_all > 0")
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD + "+")), F.lit(0)).cast("long")
-    rows = docs.withColumn("_w", size)
-    rows = rows.join(share, rows["doc_id"].eqNullSafe(share["_id"]) & rows["source"].eqNullSafe(share["_src"]) & (rows["_w"] == share["_size"]))
-    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_id", "_src", "_size").orderBy(F.lit(1))))
+    # Structs are equal when their fields are equal or both null, so one exchange of the texts serves the join and the ranks.
+    share = mixed.groupBy(F.struct("doc_id", "source", "size").alias("_of")).agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_n")).filter("_all > 0")
+    rows = docs.withColumn("_key", F.struct(F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")))
+    rows = rows.join(share, rows["_key"] == share["_of"])
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_of").orderBy(F.lit(1))))
     times = F.floor(F.col("_all") / F.col("_n")) + (F.col("_r") <= F.col("_all") % F.col("_n")).cast("long")
     rows = rows.withColumn("_times", times).filter("_times > 0")
     rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))

@@ -110,11 +110,10 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, bits: int = 4) -> DataF
     Rows are matched to their places by id and text checksum; rows equal in both are dealt out by rank, so that each gets its own place.
     """
     at = hilbert_shards(docs, n_shards, bits=bits).select("doc_id", "text_crc32", "shard", "slot")
-    key = ["doc_id", "text_crc32"]
-    crc = F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
-    places = at.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("_at")).withColumnRenamed("doc_id", "_id").withColumnRenamed("text_crc32", "_crc")
-    rows = docs.withColumn("_c", crc)
-    rows = rows.join(places, rows["doc_id"].eqNullSafe(places["_id"]) & (rows["_c"] == places["_crc"]))
-    rank = F.row_number().over(Window.partitionBy("_id", "_crc").orderBy(F.lit(1)))
+    # Structs are equal when their fields are equal or both null, so one exchange of the texts serves the join and the ranks.
+    places = at.groupBy(F.struct("doc_id", "text_crc32").alias("_of")).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("_at"))
+    rows = docs.withColumn("_key", F.struct(F.col("doc_id"), F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("text_crc32")))
+    rows = rows.join(places, rows["_key"] == places["_of"])
+    rank = F.row_number().over(Window.partitionBy("_of").orderBy(F.lit(1)))
     rows = rows.withColumn("_p", F.get("_at", F.when(F.size("_at") == 1, 0).otherwise(rank - 1)))
     return rows.select(*[F.col(c) for c in docs.columns], F.col("_p.shard").alias("shard"), F.col("_p.slot").alias("slot")).repartitionByRange(n_shards, "shard").sortWithinPartitions("shard", "slot")
