@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, jaccard, langid, mixing, quality, secrets, sharding, suffix_lm
+from . import chat, context_lm, decontaminate, html_text, jaccard, langid, mixing, quality, secrets, sharding
 from .common import table
 
 HARD_CASE = "\\### Assistant: </turn> ok"
@@ -35,7 +35,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_lm.score_documents(table(spark, sf_dir, "documents"))
+    return context_lm.score_running_text(table(spark, sf_dir, "documents"))
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
