@@ -89,3 +89,24 @@ def test_order_of_words_counts_in_the_query(spark, tmp_path):
     spark.createDataFrame([(i, "one two three four five six " * 9) for i in range(40)] + [(100, "one two three four"), (101, "four two one three")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.score for r in queries.op6_suffix_tree_scoring(spark, str(tmp_path)).collect()}
     assert got[100] > got[101] + 1
+
+
+def test_every_context_is_tested_and_all_that_pass_are_kept(spark):
+    """A rare context of strong divergence stays among any number of more frequent ones."""
+    docs = spark.createDataFrame([(t,) for i, t in ROWS if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2], "text string")
+    for min_count, min_nats in ((3, 2.0), (4, 10.0)):
+        kept, _ = _model(_train(), min_count, min_nats)
+        _, tree = context_lm.fit(docs, min_count=min_count, min_nats=min_nats)
+        found = set()
+        for part in context_lm.parts(tree):
+            for d, (contexts, _, _, _) in part.value.items():
+                found |= {k.to_bytes(8, "big")[:d][::-1] for k in contexts.tolist()}
+        assert found == {c for c in kept if len(c) > 2} and found
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    sizes = []
+    for n in (30, 300):
+        docs = spark.createDataFrame([(" ".join(f"w{zlib.crc32(f'{i // 10} {k}'.encode())}" for k in range(30)),) for i in range(n)], "text string")
+        sizes.append(sum(len(x[0]) for part in context_lm.parts(context_lm.fit(docs)[1]) for x in part.value.values()))
+    assert sizes[1] > 5 * sizes[0] > 0
