@@ -21,9 +21,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; where that is unset (tests on one machine) a temporary one."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``. Where that is unset, a temporary one on one machine; on a cluster this is an error."""
     got = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return got.get() if got.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt")
+    if got.isDefined():
+        return got.get()
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="ckpt")
+
+
+def small_batches(spark: SparkSession, most: int = 4_000_000) -> None:
+    """Bound the batches that go to Python by bytes, so that long texts don't add up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
+def trimmed(run):
+    """The batches of ``run``, after which the worker gives its free memory back, as it stays on for other tasks."""
+
+    def all_of(batches):
+        yield from run(batches)
+        give_back()
+
+    return all_of
+
+
+def give_back() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
 
 
 def released(df: DataFrame) -> DataFrame:
