@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, gram_hashes, mix, released, text_bytes, word_hashes, written
+from .common import checkpointed, gram_hashes, mix, released, small_batches, text_bytes, trimmed, word_hashes, written
 
 BROADCAST_IDS = 2_000_000
 #: Sets in a list whose pairs are all made at once, and prefix places that a match must share.
@@ -40,6 +40,8 @@ SHORT, SHARED = 8, 5
 SMALL_BITS, BITS, BLOCK = 256, 1024, 4096
 #: Rows of the lists that one key of the last step has, about.
 KEY_ROWS = 200_000
+#: Sets by which a list is split in the first pass, as the sample has it.
+SPLIT = 20_000
 
 
 def shingles(text: bytes, n: int = 5) -> np.ndarray:
@@ -82,7 +84,7 @@ def _classes(n: int):
 
         for b in batches:
             sets = [shingles(t, n) for t in text_bytes(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary())], names=["doc_id", "n", "sid", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary()), b.column(2)], names=["doc_id", "n", "sid", "bits", "row"])
 
     return run
 
@@ -112,18 +114,23 @@ def prefix_order(s: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.n
     return s[np.lexsort((s, n))]
 
 
-def _index(held, n: int, percent: int):
-    """Index rows ``token, sid, n, pos`` of each set's prefix, once for a set and task."""
+def _index(held, n: int, percent: int, sample: int, split: int):
+    """Index rows ``key, token, sid, n, pos`` of each set's prefix, once for a set and task.
+
+    A list that by the sample has many sets is split by them: its rows have different keys, so that no task has all of it. The key of
+    other lists is the token.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         frequent = held.value
+        parts = np.maximum(1, frequent[1] * sample // split)
         seen: set[int] = set()
         for b in batches:
             texts = text_bytes(b.column(0))
             for i in range(0, len(texts), 500):
-                cols: list[list[np.ndarray]] = [[], [], [], []]
+                cols: list[list[np.ndarray]] = [[], [], [], [], []]
                 for t in texts[i : i + 500]:
                     s = shingles(t, n)
                     if not len(s) or (k := _key(s)) in seen:
@@ -131,30 +138,48 @@ def _index(held, n: int, percent: int):
                     seen.add(k)
                     least = (percent * len(s) + 99) // 100
                     m = len(s) - least + min(SHARED, least)
-                    for c, v in zip(cols, (prefix_order(s, frequent)[:m].view(np.int64), np.full(m, k), np.full(m, len(s), np.int32), np.arange(m, dtype=np.int32)), strict=True):
+                    token = prefix_order(s, frequent)[:m]
+                    for c, v in zip(cols, (split_keys(token, k, frequent[0], parts).view(np.int64), token.view(np.int64), np.full(m, k), np.full(m, len(s), np.int32), np.arange(m, dtype=np.int32)), strict=True):
                         c.append(v)
                 if cols[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["token", "sid", "n", "pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["key", "token", "sid", "n", "pos"])
 
     return run
 
 
+def split_keys(token: np.ndarray, sid: int, frequent: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Tokens, but for those of split lists: a hash of the token and the set's part of the list."""
+    if not len(frequent) or not (parts > 1).any():
+        return token
+    at = np.minimum(np.searchsorted(frequent, token), len(frequent) - 1)
+    k = np.where(frequent[at] == token, parts[at], 1).astype(np.uint64)
+    part = np.uint64(sid & ((1 << 64) - 1)) % k + np.uint64(1)
+    with np.errstate(over="ignore"):
+        return np.where(k > 1, mix(token ^ (part * np.uint64(0x9E3779B97F4A7C15))), token)
+
+
 def _runs(batches, width: int):
-    """Whole lists of equal tokens from a partition sorted by token, as arrays of columns; a batch's last list waits for the next batch."""
-    rest = None
+    """Whole lists of equal keys (the first column) from a partition sorted by key, as arrays of columns with the lists' edges. A list that isn't at its end waits in pieces."""
+
+    def whole(pieces):
+        cols = [np.concatenate(c) for c in zip(*pieces, strict=True)]
+        return cols, np.concatenate(([0], np.flatnonzero(np.diff(cols[0])) + 1, [len(cols[0])]))
+
+    rest: list[list[np.ndarray]] = []
     for b in batches:
         cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
-        if rest is not None:
-            cols = [np.concatenate((r, c)) for r, c in zip(rest, cols, strict=True)]
         if not len(cols[0]):
             continue
         edges = np.flatnonzero(np.diff(cols[0])) + 1
-        cut = edges[-1] if len(edges) else 0
-        rest = [c[cut:] for c in cols]
-        if cut:
-            yield [c[:cut] for c in cols], np.concatenate(([0], edges))  # the last edge is the cut
-    if rest is not None and len(rest[0]):
-        yield rest, np.array([0, len(rest[0])])
+        if rest and not len(edges) and cols[0][0] == rest[0][0][0]:
+            rest.append(cols)
+            continue
+        cut = int(edges[-1]) if len(edges) else 0
+        if done := [*rest, *([[c[:cut] for c in cols]] if cut else [])]:
+            yield whole(done)
+        rest = [[c[cut:] for c in cols]]
+    if rest:
+        yield whole(rest)
 
 
 KIND = "kind byte, x long, y long, n1 int, n2 int, p1 int, p2 int, c long"
@@ -198,15 +223,16 @@ def _lists(percent: int):
     def run(batches):
         pairs: list[tuple] = []
         waiting = 0
-        for cols, edges in _runs(batches, 4):
-            token, sid = cols[0], cols[1]
-            first = np.ones(len(token), dtype=bool)  # rows are sorted by token, then size and set
-            first[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
+        for cols, edges in _runs(batches, 5):
+            key, sid = cols[0], cols[2]
+            first = np.ones(len(key), dtype=bool)  # rows are sorted by key, then size and set
+            first[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
             sums = np.concatenate(([0], np.cumsum(first)))
             starts, sizes = sums[edges[:-1]], sums[edges[1:]] - sums[edges[:-1]]
-            token, sid, n, pos = (c[first] for c in cols)
+            key, token, sid, n, pos = (c[first] for c in cols)
+            split = key[starts] != token[starts]
             for size in range(2, SHORT + 1):
-                s = starts[sizes == size]
+                s = starts[(sizes == size) & ~split]
                 if not len(s):
                     continue
                 for i in range(size):
@@ -217,7 +243,7 @@ def _lists(percent: int):
                         if len(x):
                             pairs.append(_ordered(sid[x], sid[y], n[x], n[y], pos[x], pos[y]))
                             waiting += len(x)
-            long = sizes > SHORT
+            long = (sizes > SHORT) | split
             if long.any():
                 own = np.concatenate([np.arange(a, a + k) for a, k in zip(starts[long], sizes[long], strict=True)])
                 zero = np.zeros(len(own))
@@ -253,7 +279,7 @@ def _led(n, pos, rank, percent: int, offset: int = 0) -> list[tuple[int, int]]:
 
 
 def _leader_pairs(percent: int):
-    """Pairs of different components with their leaders, from lists ``token, sid, n, pos, comp, rank`` sorted by token, size and set."""
+    """Pairs of different components with their leaders, from lists ``list, sid, n, pos, comp, rank`` sorted by list, size and set."""
 
     def run(batches):
         for cols, edges in _runs(batches, 6):
@@ -354,12 +380,12 @@ def _sets(n: int):
     return run
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``node, comp`` (least node of the component) of every node of ``edges`` (a, b), by alternating large and small stars."""
+def components(edges: DataFrame) -> DataFrame:
+    """``node, comp`` (least node of the component) of every node of ``edges`` (a, b), by alternating large and small stars until the edges stay the same."""
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     e = checkpointed(e)
     before = None
-    for _ in range(max_rounds):
+    while True:
         # Large star: a node's larger neighbours are joined to its least neighbour.
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
@@ -369,7 +395,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         joined = e.join(least, e["a"] == least["u"])
         e = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
         e = checkpointed(e)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.col("a").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)")), F.count_distinct("a")).first()
+        # Edges are distinct, and their set is told by its size and the sums of two hashes of each edge.
+        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a", F.lit(1)).cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             break
         before = now
@@ -385,27 +412,41 @@ def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percen
     ids = wanted.select("_rep").distinct()
     texts = rows.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, rows["doc_id"].eqNullSafe(ids["_rep"]), "left_semi")
     # One text stands for each set; should its id be repeated, a set or a link is listed twice, which changes nothing.
-    sets = written(texts.select("text").mapInArrow(_sets(n), "sid long, s array<long>"))
+    sets = written(texts.select("text").mapInArrow(trimmed(_sets(n)), "sid long, s array<long>"))
     x, y = sets.select(F.col("sid").alias("a"), F.col("s").alias("x")), sets.select(F.col("sid").alias("b"), F.col("s").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     hit = both * 100 >= percent * (F.size("x") + F.size("y") - both)
     return pairs.join(x, "a").join(y, "b").filter(hit).select("a", "b")
 
 
-def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    whole = _grouped(docs, n, percent, sample, most_frequent, split, id_col, text_col)
+    least = whole.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
+    out = whole.join(least, (whole["group"] == least["group"]) & (whole["n"] > 0), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _row_hash(docs: DataFrame):
+    """A hash of all of a row's columns, so that equal rows alone have the same id and hash."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n, group, row`` for every row of ``docs``: the number of its shingles, its component by set, and the hash of the row."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    small_batches(spark)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _row_hash(docs).alias("row"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    classes = checkpointed(rows.mapInArrow(_classes(n), f"doc_id {kind}, n long, sid long, bits binary"))
+    classes = checkpointed(rows.mapInArrow(trimmed(_classes(n)), f"doc_id {kind}, n long, sid long, bits binary, row long"))
     reps = classes.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     # The order of shingles: what a sample of texts has often comes last.
     some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0).select("text")
-    often = some.mapInArrow(_sampled(n), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c >= 3").orderBy(F.desc("c"), "token").limit(most_frequent).collect()
+    often = some.mapInArrow(trimmed(_sampled(n)), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c >= 3").orderBy(F.desc("c"), "token").limit(most_frequent).collect()
     often.sort(key=lambda r: r.token & ((1 << 64) - 1))
     frequent = (np.array([r.token for r in often], dtype=np.int64).view(np.uint64), np.array([r.c for r in often], dtype=np.int64))
-    index = rows.select("text").mapInArrow(_index(spark.sparkContext.broadcast(frequent), n, percent), "token long, sid long, n int, pos int")
-    lists = released(written(index.repartition("token").sortWithinPartitions("token", "n", "sid").mapInArrow(_lists(percent), KIND)))
+    index = rows.select("text").mapInArrow(trimmed(_index(spark.sparkContext.broadcast(frequent), n, percent, sample, split)), "key long, token long, sid long, n int, pos int")
+    lists = released(written(index.repartition("key").sortWithinPartitions("key", "n", "sid").mapInArrow(trimmed(_lists(percent)), KIND)))
     del index
     short = lists.filter("kind = 1")
     long = lists.filter("kind = 0").select(F.col("x").alias("token"), F.col("y").alias("sid"), F.col("n1").alias("n"), F.col("p1").alias("pos"))
@@ -431,13 +472,15 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
             # Equal numbers of different lists would only add pairs, and these are compared in full.
             now = now.join(classes.filter("n > 0").groupBy("sid").agg(F.first("bits").alias("bits")), "sid")
             now = now.repartition("key").sortWithinPartitions("key", "list", "n", "sid").select("list", "sid", "n", "pos", "comp", F.col("own").alias("block"), F.col("with").alias("other"), "bits")
-            found = written(now.mapInArrow(_all_pairs(percent), KIND))
+            found = written(now.mapInArrow(trimmed(_all_pairs(percent)), KIND))
             # A pair may share places in short lists too.
             both = found.select("x", "y").distinct()
             found = _worth(found.unionByName(short.join(both, ["x", "y"], "left_semi").select(*found.columns)), percent)
         else:
-            now = now.join(mixed.select("token"), "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "sid")
-            found = _worth(now.mapInArrow(_leader_pairs(percent), KIND), percent, 3)
+            # A list of many sets has a leader in each block of them.
+            now = now.join(mixed, "token").withColumn("list", F.xxhash64("token", F.pmod(F.xxhash64("sid"), F.col("blocks"))))
+            now = now.select("list", "sid", "n", "pos", "comp", "rank").repartition("list").sortWithinPartitions("list", "n", "sid")
+            found = _worth(now.mapInArrow(trimmed(_leader_pairs(percent)), KIND), percent, 3)
         pairs = checkpointed(found.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
@@ -447,20 +490,23 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: i
         comp = checkpointed(components(links))
     whole = classes if comp is None else classes.join(comp, classes["sid"] == comp["node"], "left")
     group = F.col("sid") if comp is None else F.coalesce("comp", "sid")
-    whole = whole.select("doc_id", "n", group.alias("group"))
-    least = whole.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
-    out = whole.join(least, (whole["group"] == least["group"]) & (whole["n"] > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return whole.select("doc_id", "n", group.alias("group"), "row")
 
 
 def min_keep(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs`` but for those that are in a component with a row of smaller id; of rows with equal ids and one component the first by text stays."""
-    from pyspark.sql import Window
-
-    group = similar_components(docs, **kw)
-    away = group.filter((F.col("component_id") < F.col("doc_id")) & (F.col("n_shingles") > 0)).select(F.col("doc_id").alias("_away"), "n_shingles").distinct()
-    kept = docs.join(away.select("_away").distinct(), docs["doc_id"] == away["_away"], "left_anti")
-    again = group.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))
-    one = kept.join(again, kept["doc_id"].eqNullSafe(again["_id"]), "left_anti")
-    several = kept.join(again, kept["doc_id"].eqNullSafe(again["_id"]), "left_semi").withColumn("_r", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.lit(1)))).filter("_r = 1").drop("_r")
-    return one.unionByName(several)
+    """One row of each component: that of the least id (null ids last), of equal ids the one with the least hash of all columns. Rows without shingles all stay."""
+    group = checkpointed(_grouped(docs, **kw))
+    first = group.filter("n > 0").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("first"))
+    told = group.filter("n > 0").join(first, "group")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
+    # Rows are told by id and hash. Equal rows have one fate, but for all but one of several that stay.
+    gone = told.filter(~stays).select(F.struct("doc_id", "row").alias("_of")).distinct()
+    several = told.filter(stays).groupBy(F.struct("doc_id", "row").alias("_of")).count().filter("count > 1").select("_of")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.struct(F.col(kw.get("id_col", "doc_id")).alias("doc_id"), _row_hash(docs).alias("row")).alias("key"))
+    kept = rows.join(gone, rows["key"] == gone["_of"], "left_anti")
+    if several.isEmpty():
+        return kept.select("all.*")
+    one = kept.join(several, kept["key"] == several["_of"], "left_anti").select("all")
+    # Equal rows are summed to one before they meet.
+    once = kept.join(several, kept["key"] == several["_of"], "left_semi").groupBy("key").agg(F.any_value("all").alias("all")).select("all")
+    return one.unionByName(once).select("all.*")
