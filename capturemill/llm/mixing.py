@@ -22,7 +22,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, n_words
+from .common import checkpointed, n_words, small_batches, trimmed
 
 _EPS = 1e-9
 #: Sources that are broadcast at most, and the parts that a source's rows are joined in beyond that.
@@ -127,6 +127,7 @@ def _with_source(rows: DataFrame, per: DataFrame, few: bool) -> DataFrame:
 
 def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None, **targets) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     if size is None:
         size = n_words(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.cast("long").alias("size"))
@@ -148,7 +149,7 @@ def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str
     while True:
         last = most <= 1
         dealt = now.repartition("source", "leaf").sortWithinPartitions("source", "leaf", F.desc("size"), "doc_id")
-        now = dealt.mapInArrow(_reduce(seed, level, last), schema)
+        now = dealt.mapInArrow(trimmed(_reduce(seed, level, last)), schema)
         if not last:
             now = checkpointed(now)
         settled = now.filter(F.col("part") <= _EPS) if not last else now
@@ -163,14 +164,15 @@ def mix_documents(docs: DataFrame, seed: int = 17, leaf: int = 128, id_col: str
 
 
 def apply_mix(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it. Rows equal in id, source and size share their copies."""
+    """The rows of ``docs``, each as often as the mix takes it. Rows equal in id, source and size share their copies in the order of a hash of all their columns."""
     mixed = mix_documents(docs, **kw)
     # Structs are equal when their fields are equal or both null, so one exchange of the texts serves the join and the ranks.
-    share = mixed.groupBy(F.struct("doc_id", "source", "size").alias("_of")).agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_n")).filter("_all > 0")
-    rows = docs.withColumn("_key", F.struct(F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")))
-    rows = rows.join(share, rows["_key"] == share["_of"])
-    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_of").orderBy(F.lit(1))))
-    times = F.floor(F.col("_all") / F.col("_n")) + (F.col("_r") <= F.col("_all") % F.col("_n")).cast("long")
-    rows = rows.withColumn("_times", times).filter("_times > 0")
-    rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-    return rows.select(*docs.columns)
+    share = mixed.groupBy(F.struct("doc_id", "source", "size").alias("of")).agg(F.sum("copies").alias("every"), F.count(F.lit(1)).alias("n")).filter("every > 0")
+    source, id_, text = kw.get("source_col", "source"), kw.get("id_col", "doc_id"), kw.get("text_col", "text")
+    key = F.struct(F.col(id_).alias("doc_id"), F.col(source).cast("string").alias("source"), kw.get("size", n_words(F.col(text))).cast("long").alias("size"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    rows = rows.join(share, rows["key"] == share["of"])
+    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("of").orderBy("row")))
+    times = F.floor(F.col("every") / F.col("n")) + (F.col("r") <= F.col("every") % F.col("n")).cast("long")
+    rows = rows.withColumn("times", times).filter("times > 0")
+    return rows.select("all", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("all.*")
