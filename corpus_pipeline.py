@@ -7,14 +7,12 @@ folder and read again, so that a lost executor repeats one stage at most.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from capturemill.llm import decontaminate, jaccard, langid, mixing, sharding
-from capturemill.llm.common import table
+from capturemill.llm.common import shared_folder, small_batches, table
 
 #: A text goes when no language's share of the posterior reaches this, or when it has no letter.
 MIN_LANGUAGE_SCORE = 0.5
@@ -22,8 +20,7 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a known language."""
-    found = langid.identify(docs.select(*[F.col(c).alias(f"_c_{c}") for c in docs.columns], "doc_id", "text", "lang"), keep=[f"_c_{c}" for c in docs.columns])
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*[F.col(f"_c_{c}").alias(c) for c in docs.columns])
+    return langid.keep_known(docs, MIN_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,15 +45,24 @@ def hilbert_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", source_mixing), ("sharding", hilbert_sharding)]
 
-#: Learned models and keyed draws can't be put in SQL; the stages are tested against brute-force versions.
+#: Learned models and keyed draws can't be put in SQL; tests/llm/test_pipeline.py holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline")
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another. A stage's table is deleted when the next one's is whole; the last one's is the result's and stays."""
+    small_batches(spark)
+    shared, docs, before = shared_folder(spark), table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         out = os.path.join(shared, f"pipeline-{uuid.uuid4().hex}-{name}")
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if before is not None:
+            _delete(spark, before)
+        before = out
     return docs
