@@ -1,22 +1,27 @@
-"""Main text of web pages: page structure first, then a host's suffix array over what structure leaves open.
+"""Main text of web pages: a host's suffix array beside page structure.
 
-A page's blocks are read from its whole markup. Blocks under menus, headers, footers, asides, forms, scripts, styles,
-hidden elements, and elements whose class, id or role says advert, notice, sidebar or reader comment are boilerplate. If the
-page marks its article (``article``, then ``main``, then a content class), the blocks under that mark are the text, and text
-in it is never dropped for being repeated: a passage that several articles quote is still text.
+A page is read once, from its whole markup, into blocks. Blocks under menus, headers, footers, asides, forms, scripts, styles,
+hidden elements, and elements whose class, id or role says advert, notice, sidebar or reader comment are boilerplate by structure. If
+the page marks its article (``article``, then ``main``, then a content class), the blocks under that mark are the text: the
+mark guards passages that several articles quote.
 
-The blocks of pages without such a mark are decided by their host. The token streams outside of marked articles of all of a
-host's pages are taken as one, with its array of suffixes; a suffix counts by its first ``min_run`` tokens, as two suffixes
-share a run of that length just if these are equal. Runs found on ``min_pages`` distinct pages or more are boilerplate: tokens
-that such runs cover are removed and the unique runs are kept. The array is never laid out in one task: equal suffix
-heads are counted by distinct pages with sums before the shuffle, and the open pages' heads are joined with the repeated ones.
+All else on a page, menus and footers too, is its open stream: the blocks' tokens one after another, with a break where the article was. The
+open streams of a host's pages are taken as one, with its array of suffixes; a suffix counts by its first ``min_run`` tokens, as two
+suffixes share a run of that length just if these are equal. Runs on two pages of different content or more are boilerplate
+wherever they begin and end. ``n_removed`` is the number of tokens that they cover; on a page without an article mark these go and
+the unique runs that structure leaves are the text. A stream of fewer tokens than ``min_run`` is one run.
+
+The array is never laid out in one task: a suffix head is kept with the least and the greatest content it was found in, which
+is summed before the shuffle, and pages' heads meet the repeated ones in ``SALTS`` parts, so that a host with a third of all pages is spread.
 
 Defined cases: null or empty html gives the empty text. Character references are decoded; white space in a block is one
-space; blocks are joined by a space. Equal rows are pages of their own. A null url is the host ''.
+space; blocks are joined by a space. Equal rows are pages of their own, of one content: they don't make each other's text boilerplate. A null
+url is the host ''. An empty table gives no rows. Columns that aren't named are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -24,7 +29,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, gram_hashes, word_hashes
+from .common import gram_hashes, mix, small_batches, trimmed, word_hashes, written
+
+#: Parts in which repeated heads meet the pages.
+SALTS = 16
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -150,103 +158,114 @@ def _host(url: str | None) -> str:
     return m[1].lower().removeprefix("www.") if m else ""
 
 
-def _marked(page: list[tuple[int, str]]) -> str | None:
-    """The text under the page's strongest article mark; None if it has no mark but open blocks."""
+def text_and_stream(page: list[tuple[int, str]]) -> tuple[str | None, list[tuple[int, str]]]:
+    """The text under the page's strongest article mark (None: it has no mark but open blocks), and its other blocks, with (0, '') at breaks."""
     top = max((k for k, _ in page), default=-1)
-    if top > 0:
-        return " ".join(t for k, t in page if k == top)
-    return None if top == 0 else ""
-
-
-def _heads(text: str, n: int) -> np.ndarray:
-    return gram_hashes(word_hashes(text.encode(errors="replace")), n).view(np.int64)
+    if top <= 0:
+        return (None if top == 0 else ""), page
+    rest: list[tuple[int, str]] = []
+    for k, t in page:
+        if k != top:
+            rest.append((k, t))
+        elif rest and rest[-1][1]:
+            rest.append((0, ""))
+    return " ".join(t for k, t in page if k == top), rest
+
+
+def _hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def stream_heads(stream: list[tuple[int, str]], host: int, n: int) -> list[tuple[np.ndarray, int]]:
+    """For each part of a stream between breaks: the hashes of its suffixes' heads with the host, and their length in tokens."""
+    parts: list[list[str]] = [[]]
+    for _, t in stream:
+        if t:
+            parts[-1].append(t)
+        else:
+            parts.append([])
+    out = []
+    for part in parts:
+        w = word_hashes(" ".join(part).encode(errors="replace"))
+        size = min(n, max(1, len(w)))
+        out.append((mix(gram_hashes(w, size) ^ np.uint64(host & ((1 << 64) - 1))), size))
+    return out
 
 
-def _suffix_heads(n: int):
-    """Distinct suffix heads of each page's stream outside of its marked article: ``host, head``."""
+def _parsed(n: int):
+    """``page_id, url, host, content, text, levels, blocks, heads`` of each page; heads are the distinct ones of its stream."""
 
     def run(batches):
         import pyarrow as pa
 
+        names = ["page_id", "url", "host", "content", "text", "levels", "blocks", "heads"]
         for b in batches:
-            hosts, heads = [], []
-            for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                host = _host(url)
-                parts = blocks(page or "")
-                top = max((k for k, _ in parts), default=-1)
-                found = set()
-                for k, t in parts:
-                    if k <= 0 or k < top:
-                        found.update(_heads(t, n).tolist())
-                hosts += [host] * len(found)
-                heads += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(heads, pa.int64())], names=["host", "head"])
+            hosts, contents, texts, levels, parts, heads = [], [], [], [], [], []
+            for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                text, stream = text_and_stream(blocks(page or ""))
+                host = _hash(_host(url).encode(errors="replace"))
+                hosts.append(host)
+                contents.append(_hash((page or "").encode(errors="replace")))
+                texts.append(text)
+                levels.append([k for k, _ in stream])
+                parts.append([t for _, t in stream])
+                heads.append(np.unique(np.concatenate([h for h, _ in stream_heads(stream, host, n)])).view(np.int64))
+            longs = [pa.array(x, pa.int64()) for x in (hosts, contents)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *longs, pa.array(texts, pa.string()), pa.array(levels, pa.list_(pa.int8())), pa.array(parts, pa.list_(pa.string())), pa.array(heads, pa.list_(pa.int64()))], names=names)
 
     return run
 
 
-def _texts(batches):
-    """The marked text of each page; open pages have none yet."""
-    import pyarrow as pa
-
-    for b in batches:
-        out = [_marked(blocks(p or "")) for p in b.column(2).to_pylist()]
-        ok = [i for i, t in enumerate(out) if t is not None]
-        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ok, pa.int64())), b.column(1).take(pa.array(ok, pa.int64())), pa.array([out[i] for i in ok], pa.string()), pa.array([0] * len(ok), pa.int64())], names=["page_id", "url", "text", "n_removed"])
-
-
-def _open_pages(n: int):
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            keep, hosts, texts, heads = [], [], [], []
-            for i, (url, page) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
-                parts = blocks(page or "")
-                if _marked(parts) is None:
-                    open_ = [t for k, t in parts if k == 0]
-                    keep.append(i)
-                    hosts.append(_host(url))
-                    texts.append(open_)
-                    heads.append([_heads(t, n).tolist() for t in open_])
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(hosts, pa.string()), pa.array(texts, pa.list_(pa.string())), pa.array(heads, pa.list_(pa.list_(pa.int64())))], names=["page_id", "url", "host", "blocks", "heads"])
-
-    return run
+def unique_runs(stream: list[tuple[int, str]], heads: list[tuple[np.ndarray, int]], repeated: np.ndarray) -> tuple[str, int]:
+    """The stream's open blocks without the tokens that repeated runs cover, and the number of tokens covered in all blocks."""
+    covered = []
+    for h, n in heads:
+        near = np.concatenate((np.isin(h, repeated), np.zeros(n - 1, dtype=bool))).cumsum()
+        near[n:] -= near[:-n].copy()  # runs that begin at one of the last n tokens
+        covered.append(near > 0)
+    out, gone, part, at = [], 0, 0, 0
+    for k, t in stream:
+        if not t:
+            part, at = part + 1, 0
+            continue
+        words = t.split()
+        cut = covered[part][at : at + len(words)]
+        at += len(words)
+        gone += int(cut.sum())
+        if k == 0 and (kept := [w for w, c in zip(words, cut, strict=True) if not c]):
+            out.append(" ".join(kept))
+    return " ".join(out), gone
 
 
-def _unique_runs(n: int):
+def _decided(n: int):
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             texts, removed = [], []
-            for parts, hits in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                covered: dict[int, set[int]] = {}
-                for h in hits or ():
-                    covered.setdefault(h["block"], set()).update(range(h["at"], h["at"] + n))
-                out, gone = [], 0
-                for i, t in enumerate(parts):
-                    cut = covered.get(i, ())
-                    gone += len(cut)
-                    if kept := [w for k, w in enumerate(t.split()) if k not in cut]:
-                        out.append(" ".join(kept))
-                texts.append(" ".join(out))
+            for host, text, levels, parts, hits in zip(*[b.column(i).to_pylist() for i in range(2, 7)], strict=True):
+                left, gone = "", 0
+                if hits or text is None:
+                    stream = list(zip(levels, parts, strict=True))
+                    left, gone = unique_runs(stream, stream_heads(stream, host, n), np.array(hits or [], dtype=np.int64).view(np.uint64))
+                texts.append(left if text is None else text)
                 removed.append(gone)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(removed, pa.int64())], names=["page_id", "url", "text", "n_removed"])
 
     return run
 
 
-def extract_pages(pages: DataFrame, min_run: int = 6, min_pages: int = 3) -> DataFrame:
+def extract_pages(pages: DataFrame, min_run: int = 6) -> DataFrame:
     """``page_id, url, text, n_chars, n_removed`` for every row of ``pages`` (page_id, url, html)."""
+    small_batches(pages.sparkSession)
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    repeated = rows.select("url", "html").mapInArrow(_suffix_heads(min_run), "host string, head long").groupBy("host", "head").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_pages).select("host", "head")
-    marked = rows.mapInArrow(_texts, f"page_id {kind}, url string, text string, n_removed long")
-    left = checkpointed(rows.mapInArrow(_open_pages(min_run), f"page_id {kind}, url string, host string, blocks array<string>, heads array<array<long>>").withColumn("row", F.monotonically_increasing_id()))
-    heads = left.select("row", "host", F.posexplode("heads").alias("block", "h")).select("row", "host", "block", F.posexplode("h").alias("at", "head"))
-    hits = heads.join(repeated, ["host", "head"]).groupBy("row").agg(F.collect_list(F.struct("block", "at")).alias("hits"))
-    found = left.join(hits, "row", "left").select("page_id", "url", "blocks", "hits").mapInArrow(_unique_runs(min_run), f"page_id {kind}, url string, text string, n_removed long")
-    out = marked.unionByName(found)
+    schema = f"page_id {kind}, url string, host long, content long, text string, levels array<byte>, blocks array<string>, heads array<long>"
+    parsed = written(rows.mapInArrow(trimmed(_parsed(min_run)), schema).withColumn("row", F.monotonically_increasing_id()))
+    heads = parsed.select("row", "content", F.explode("heads").alias("head"))
+    found = heads.groupBy("head").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).filter("lo <> hi").select("head")
+    salted = found.select("head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    hits = heads.withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS))).join(salted, ["head", "salt"]).groupBy("row").agg(F.collect_list("head").alias("hits"))
+    both = parsed.join(hits, "row", "left").select("page_id", "url", "host", "text", "levels", "blocks", "hits")
+    out = both.mapInArrow(trimmed(_decided(min_run)), f"page_id {kind}, url string, text string, n_removed long")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_removed")
