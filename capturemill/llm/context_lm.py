@@ -26,8 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, crc_mod, mix, released, text_bytes, written
-from .suffix_lm import word_counts
+from .common import checkpointed, crc_mod, mix, released, small_batches, text_bytes, trimmed, written
 
 DEPTH, SYMBOLS = 7, 256
 #: Bytes that UTF-8 doesn't have.
@@ -225,11 +224,11 @@ def _tested(held, min_count: int, min_nats: float):
 def fit(texts: DataFrame, min_count: int = 8, min_nats: float = 16.0) -> tuple[Low, DataFrame]:
     """The distributions after two symbols, and the tree's longer contexts by bucket and depth, from all texts (one column)."""
     kind = "bucket int, keys binary, counts binary"
-    counts = written(texts.mapInArrow(_counted, kind).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged, kind))
-    low = counts.select("keys", "counts").mapInArrow(_low, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    counts = written(texts.mapInArrow(trimmed(_counted), kind).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_merged), kind))
+    low = counts.select("keys", "counts").mapInArrow(trimmed(_low), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     low = Low(low.column(0).to_numpy(), low.column(1).to_numpy())
     held = texts.sparkSession.sparkContext.broadcast(low)
-    tree = counts.mapInArrow(_tested(held, min_count, min_nats), "bucket int, depth int, " + ", ".join(f"{c} binary" for c in _TREE))
+    tree = counts.mapInArrow(trimmed(_tested(held, min_count, min_nats)), "bucket int, depth int, " + ", ".join(f"{c} binary" for c in _TREE))
     return low, released(written(tree))
 
 
@@ -308,6 +307,43 @@ def score_texts(texts: list[bytes], low: Low, tree: list) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _words_counted(batches):
+    """Counts of the lower-cased words of each task's texts, passed on whenever many have gathered; the empty word counts texts."""
+    import pyarrow as pa
+
+    def out(c):
+        return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+
+    c: Counter = Counter()
+    for b in batches:
+        for t in text_bytes(b.column(0)):
+            c.update(t.lower().split())
+            c[b""] += 1
+            if len(c) > 300_000:
+                yield out(c)
+                c = Counter()
+    if c:
+        yield out(c)
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``word, n`` over all texts (one column); the empty word's count is the number of texts."""
+    return texts.mapInArrow(trimmed(_words_counted), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def often(counts: DataFrame, most: int) -> DataFrame:
+    """The words of the largest counts, about ``most`` of them and no more: by a threshold from a histogram of counts by their logarithms, so that no task orders all words."""
+    size = F.floor(16 * F.log2("n"))
+    hist = {r.b: r["count"] for r in counts.groupBy(size.alias("b")).count().collect()}  # some hundreds of rows
+    least, held = None, 0
+    for b in sorted(hist, reverse=True):
+        held += hist[b]
+        if held > most:
+            break
+        least = b
+    return counts.filter(size >= least) if least is not None else counts.limit(0)
+
+
 def _scored(low, tree, common, train_tokens: int, vocabulary: int):
     def run(batches):
         import pyarrow as pa
@@ -344,6 +380,7 @@ def _scored(low, tree, common, train_tokens: int, vocabulary: int):
 def score_running_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held_out: int = 2, common: int = 200_000, **tree) -> DataFrame:
     """Fit on the rows whose id isn't held out, then score every row with the tree and with the add-one unigram of words."""
     sc = docs.sparkSession.sparkContext
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), (crc_mod(F.col(id_col), modulus) == held_out).alias("held_out"))
     train = rows.filter(~F.col("held_out")).select("text")
     low, found = fit(train, **tree)
@@ -351,10 +388,10 @@ def score_running_text(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counts = checkpointed(word_counts(train))
     zero = F.lit(0)
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("n"), zero), F.count(zero)).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(common).toArrow()
+    top = often(counts, common).toArrow()
     words = top.column("word").to_pylist(), np.log10(top.column("n").to_numpy() + 1.0)
     kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, score double, base double, known long, rare array<binary>, times array<long>"
-    out = rows.select("doc_id", "text", "held_out").mapInArrow(_scored(*held, sc.broadcast(words), tokens, vocabulary), kind)
+    out = rows.select("doc_id", "text", "held_out").mapInArrow(trimmed(_scored(*held, sc.broadcast(words), tokens, vocabulary)), kind)
     out = checkpointed(out.withColumn("row", F.monotonically_increasing_id()))
     rare = out.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("k"))
     seen, k = F.col("n"), F.col("k")

@@ -5,14 +5,13 @@ import collections
 import gzip
 import hashlib
 import math
-import types
 import zlib
 from fractions import Fraction
 from urllib.parse import quote
 
 import pytest
 
-from capturemill.llm import chat, decontaminate, html_text, jaccard, langid, mixing, quality, secrets, sharding, suffix_lm
+from capturemill.llm import chat, context_lm, decontaminate, html_text, jaccard, langid, mixing, quality, secrets, sharding
 
 WORDS = "the of and to in is that river stone light walks under blue open gate morning quiet field over small ships carry salt north".split()
 
@@ -131,71 +130,27 @@ def test_chat_round_trip(spark, text):
     assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest() and r.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
 
 
-def test_suffix_tree_sums_to_one_and_base_is_exact(docs):
+def test_base_score_is_exact(docs):
     rows = docs.collect()
-    got = suffix_lm.score_documents(docs, max_nodes=300).collect()
     train = [r for r in rows if zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 7 != 2]
     c = collections.Counter(w for r in train for w in [*_words(r.text), b""])
     n, v = sum(c.values()), len(c)
     want = collections.Counter((r.doc_id, len(_words(r.text)) + 1, sum(c[w] > 0 for w in [*_words(r.text), b""]), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in [*_words(r.text), b""]), 6)) for r in rows)
-    assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    assert all(r.score < 0 for r in got)
-    # The mixture by definition, for words that are broadcast and words that are joined alike.
-    counts = docs.sparkSession.createDataFrame([(bytearray(w), 1) for w in c], "word binary, n long")
-    tree, e = suffix_lm.fit(counts, max_nodes=300), sum(k == 1 for k in c.values()) / n
-    assert e > 0
-
-    def lm(w):
-        return math.log10((1 - e) * c[w] / n + e * 10 ** tree.score([w])[0])
-
-    expect = collections.Counter((r.doc_id, round(sum(lm(w) for w in [*_words(r.text), b""]), 6)) for r in rows)
-    for common in (200_000, 3):
-        some = suffix_lm.score_documents(docs, max_nodes=300, common=common).collect()
-        assert collections.Counter((r.doc_id, round(r.score, 6)) for r in some) == expect
-
-
-def test_suffix_tree_distributions_and_pieces():
-    import numpy as np
-    import pyarrow as pa
-
-    c = collections.Counter(w for i in range(4) for w in [*_words(_text(i, 900)), b""])
-    long = bytes(97 + (i * i + i // 7) % 5 for i in range(5000))
-    c[long] = 2
-    batch = pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()))], names=["word", "n"])
-    # Contexts and their counts by definition.
-    keys = collections.Counter()
-    for b in suffix_lm._contexts(4)([batch]):
-        keys.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)))
-    want = collections.Counter()
-    for w, k in c.items():
-        for j in range(len(w) + 1):
-            for d in range(1, min(4, j + 1) + 1):
-                want[tuple((b" " + w)[j + 1 - d : j + 1])] += k
-    assert {suffix_lm._unpack(k): n for k, n in keys.items()} == want
-    auto = suffix_lm.Automaton([suffix_lm._unpack(k) for k, _ in keys.most_common(200)])
-    table = np.zeros(len(auto.states) * suffix_lm.SYMBOLS)
-    for b in suffix_lm._state_counts(types.SimpleNamespace(value=auto))([batch]):
-        table[b.column(0).to_numpy()] = b.column(1).to_numpy()
-    assert table.sum() == sum(k * (len(w) + 1) for w, k in c.items())
-    tree = suffix_lm.SuffixTree(auto, table.reshape(-1, suffix_lm.SYMBOLS), 1e-6)
-    assert np.allclose((10**tree.logp).sum(axis=1), 1)
-    # Longest suffix by definition, symbol by symbol; the long word is walked in pieces.
-    ids = {x: i for i, x in enumerate(tree.auto.states)}
-    for w in (long, b"river", b"unseen", b""):
-        total, seen = 0.0, (suffix_lm.WORD_END,)
-        for x in [*w, suffix_lm.TEXT_END]:
-            at = seen[-10:]
-            while at not in ids:
-                at = at[1:]
-            total += tree.logp[ids[at], x]
-            seen = (*seen, x)
-        assert math.isclose(total, tree.score([w])[0], rel_tol=1e-9)
-
-
-def _batch(texts):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_arrays([pa.array([t.decode() for t in texts])], names=["text"])
+    for common in (200_000, 3):  # words that are broadcast, and words that are joined
+        got = context_lm.score_running_text(docs, common=common).collect()
+        assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+        assert all(r.score < 0 for r in got)
+    nothing = context_lm.score_running_text(docs.limit(0))
+    assert nothing.count() == 0
+    alone = context_lm.score_running_text(docs.filter("doc_id = 0")).collect()
+    assert len(alone) == 1 and alone[0].score < 0
+
+
+def test_frequent_words_by_a_threshold(spark):
+    d = spark.createDataFrame([(bytearray(f"w{i}".encode()), i * i) for i in range(1, 400)], "word binary, n long")
+    got = sorted(r.n for r in context_lm.often(d, 50).collect())
+    assert 40 <= len(got) <= 50 and got == [i * i for i in range(400 - len(got), 400)]
+    assert context_lm.often(d, 0).count() == 0 and context_lm.often(d.limit(0), 5).count() == 0 and context_lm.often(d, 1000).count() == 399
 
 
 def _levels(sizes, weights, share=1.5, most=2):
