@@ -12,7 +12,8 @@ wherever they begin and end. ``n_removed`` is the number of tokens that they cov
 the unique runs that structure leaves are the text. A stream of fewer tokens than ``min_run`` is one run.
 
 The array is never laid out in one task: a suffix head is kept with the least and the greatest content it was found in, which
-is summed before the shuffle, and pages' heads meet the repeated ones in ``SALTS`` parts, so that a host with a third of all pages is spread.
+is summed before the shuffle. The repeated heads are counted: up to ``BROADCAST_HEADS`` are broadcast and no text moves; more are joined to the
+pages' heads in ``SALTS`` parts, so that a host with a third of all pages is spread.
 
 Defined cases: null or empty html gives the empty text. Character references are decoded; white space in a block is one
 space; blocks are joined by a space. Equal rows are pages of their own, of one content: they don't make each other's text boilerplate. A null
@@ -29,10 +30,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix, small_batches, trimmed, word_hashes, written
+from .common import checkpointed, gram_hashes, mix, small_batches, trimmed, word_hashes, written
 
-#: Parts in which repeated heads meet the pages.
-SALTS = 16
+#: Repeated heads that are broadcast (16 MB), and the parts in which more of them meet the pages.
+BROADCAST_HEADS, SALTS = 2_000_000, 16
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -217,10 +218,12 @@ def _parsed(n: int):
 
 
 def unique_runs(stream: list[tuple[int, str]], heads: list[tuple[np.ndarray, int]], repeated: np.ndarray) -> tuple[str, int]:
-    """The stream's open blocks without the tokens that repeated runs cover, and the number of tokens covered in all blocks."""
+    """The stream's open blocks without the tokens that repeated runs cover, and the number of tokens covered in all blocks. ``repeated`` is sorted."""
     covered = []
     for h, n in heads:
-        near = np.concatenate((np.isin(h, repeated), np.zeros(n - 1, dtype=bool))).cumsum()
+        at = np.minimum(np.searchsorted(repeated, h), max(0, len(repeated) - 1))
+        hit = repeated[at] == h if len(repeated) else np.zeros(len(h), dtype=bool)
+        near = np.concatenate((hit, np.zeros(n - 1, dtype=bool))).cumsum()
         near[n:] -= near[:-n].copy()  # runs that begin at one of the last n tokens
         covered.append(near > 0)
     out, gone, part, at = [], 0, 0, 0
@@ -237,20 +240,59 @@ def unique_runs(stream: list[tuple[int, str]], heads: list[tuple[np.ndarray, int
     return " ".join(out), gone
 
 
+def _judged(host: int, text: str | None, stream: list[tuple[int, str]], repeated: np.ndarray, n: int) -> tuple[str, int]:
+    left, gone = unique_runs(stream, stream_heads(stream, host, n), repeated)
+    return (left if text is None else text), gone
+
+
+def _stream_heads(n: int):
+    """The distinct heads of each page's stream with the page's content."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            contents, heads = [], []
+            for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                _, stream = text_and_stream(blocks(page or ""))
+                own = np.unique(np.concatenate([h for h, _ in stream_heads(stream, _hash(_host(url).encode(errors="replace")), n)]))
+                heads.append(own.view(np.int64))
+                contents.append(np.full(len(own), _hash((page or "").encode(errors="replace")), dtype=np.int64))
+            if heads:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(contents)), pa.array(np.concatenate(heads))], names=["content", "head"])
+
+    return run
+
+
+_OUT = ["page_id", "url", "text", "n_removed"]
+
+
+def _decided_at_once(held, n: int):
+    """Pages whose repeated heads are all at hand."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            out = []
+            for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                out.append(_judged(_hash(_host(url).encode(errors="replace")), *text_and_stream(blocks(page or "")), held.value, n))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], names=_OUT)
+
+    return run
+
+
 def _decided(n: int):
+    """Parsed pages with the repeated heads of their own."""
+
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            texts, removed = [], []
+            out = []
             for host, text, levels, parts, hits in zip(*[b.column(i).to_pylist() for i in range(2, 7)], strict=True):
-                left, gone = "", 0
-                if hits or text is None:
-                    stream = list(zip(levels, parts, strict=True))
-                    left, gone = unique_runs(stream, stream_heads(stream, host, n), np.array(hits or [], dtype=np.int64).view(np.uint64))
-                texts.append(left if text is None else text)
-                removed.append(gone)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(removed, pa.int64())], names=["page_id", "url", "text", "n_removed"])
+                out.append(_judged(host, text, list(zip(levels, parts, strict=True)), np.sort(np.array(hits or [], dtype=np.int64).view(np.uint64)), n))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], names=_OUT)
 
     return run
 
@@ -260,12 +302,19 @@ def extract_pages(pages: DataFrame, min_run: int = 6) -> DataFrame:
     small_batches(pages.sparkSession)
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {kind}, url string, host long, content long, text string, levels array<byte>, blocks array<string>, heads array<long>"
-    parsed = written(rows.mapInArrow(trimmed(_parsed(min_run)), schema).withColumn("row", F.monotonically_increasing_id()))
-    heads = parsed.select("row", "content", F.explode("heads").alias("head"))
-    found = heads.groupBy("head").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).filter("lo <> hi").select("head")
-    salted = found.select("head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    hits = heads.withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS))).join(salted, ["head", "salt"]).groupBy("row").agg(F.collect_list("head").alias("hits"))
-    both = parsed.join(hits, "row", "left").select("page_id", "url", "host", "text", "levels", "blocks", "hits")
-    out = both.mapInArrow(trimmed(_decided(min_run)), f"page_id {kind}, url string, text string, n_removed long")
+    schema = f"page_id {kind}, url string, text string, n_removed long"
+
+    def repeated(heads: DataFrame) -> DataFrame:
+        return heads.groupBy("head").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).filter("lo <> hi").select("head")
+
+    found = checkpointed(repeated(rows.select("url", "html").mapInArrow(trimmed(_stream_heads(min_run)), "content long, head long")))
+    if found.count() <= BROADCAST_HEADS:
+        held = pages.sparkSession.sparkContext.broadcast(np.sort(found.toArrow().column(0).to_numpy().view(np.uint64)))
+        out = rows.mapInArrow(trimmed(_decided_at_once(held, min_run)), schema)
+    else:
+        parsed = written(rows.mapInArrow(trimmed(_parsed(min_run)), f"page_id {kind}, url string, host long, content long, text string, levels array<byte>, blocks array<string>, heads array<long>").withColumn("row", F.monotonically_increasing_id()))
+        heads = parsed.select("row", F.explode("heads").alias("head")).withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS)))
+        salted = found.select("head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        hits = heads.join(salted, ["head", "salt"]).groupBy("row").agg(F.collect_list("head").alias("hits"))
+        out = parsed.join(hits, "row", "left").select("page_id", "url", "host", "text", "levels", "blocks", "hits").mapInArrow(trimmed(_decided(min_run)), schema)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_removed")

@@ -2,6 +2,8 @@
 
 import collections
 
+import pytest
+
 from capturemill.llm import html_text
 
 
@@ -68,7 +70,9 @@ def test_marked_pages_count_what_the_array_covers_outside_and_keep_quotes(spark)
     assert got == collections.Counter({(i, f"{quote} own {i}", 8): 1 for i in range(3)}) == _brute(rows)
 
 
-def test_driver_pages_against_brute_force(spark):
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_driver_pages_against_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(html_text, "BROADCAST_HEADS", most)
     d = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html")
     rows = [tuple(r) for r in d.collect()]
     assert _got(spark, rows) == _brute(rows)
