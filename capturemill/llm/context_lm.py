@@ -32,9 +32,9 @@ DEPTH, SYMBOLS = 7, 256
 #: Bytes that UTF-8 doesn't have.
 BEGINNING, END = b"\xfe", b"\xff"
 _HEAD = BEGINNING * (DEPTH - 1) + b" "
-BUCKETS, CHUNK, PART = 1024, 2_000_000, 32_000_000
+BUCKETS, CHUNK, PART = 1024, 500_000, 32_000_000
 #: Windows of a task that are summed at once; bytes of texts whose windows are looked up together, and windows in one step of it.
-GATHERED, TOGETHER, STEP = 5_000_000, 8_000_000, 300_000
+GATHERED, TOGETHER, STEP = 2_500_000, 4_000_000, 200_000
 _U = np.uint64
 
 
@@ -134,7 +134,7 @@ def _merged(batches):
             keys.append(unpacked(k))
             counts.append(np.frombuffer(n.as_buffer(), dtype=np.int64))
             waiting += len(keys[-1])
-            if waiting > 4_000_000:
+            if waiting > 1_500_000:
                 k, n = summed(keys, counts)
                 keys, counts, waiting = [k], [n], 0
     if keys:
@@ -319,7 +319,7 @@ def _words_counted(batches):
         for t in text_bytes(b.column(0)):
             c.update(t.lower().split())
             c[b""] += 1
-            if len(c) > 300_000:
+            if len(c) > 100_000:
                 yield out(c)
                 c = Counter()
     if c:
