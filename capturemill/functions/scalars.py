@@ -27,7 +27,12 @@ def segment(path: Column, k: int) -> Column:
 
 
 def capture_key(path: Column, root: str) -> Column:
-    """A capture's index key: its path below ``root``, under ``history`` when a season segment stands before the root."""
-    season = F.regexp_extract(path, rf"/(\d{{4}}-\d{{2}})/{root}/", 1)
-    rest = F.regexp_extract(path, rf"/{root}/(.*)$", 1)
-    return F.when(season != "", F.concat(F.lit("history/"), season, F.lit(f"/{root}/"), rest)).otherwise(F.concat(F.lit(f"{root}/"), rest))
+    """A capture's index key: its path from ``root`` on, under ``history`` and its season if a season stands before the root, else under ``raw``."""
+    above = F.regexp_extract(path, rf"([^/]+)/{root}/", 1)
+    rest = F.regexp_extract(path, rf"[^/]+/({root}/.*)$", 1)
+    return F.when(above.rlike(r"^\d{4}-\d{2}$"), F.concat(F.lit("history/"), above, F.lit("/"), rest)).otherwise(F.concat(F.lit("raw/"), rest))
+
+
+def utc_now() -> Column:
+    """The moment of the query in UTC, without a zone."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")

@@ -29,25 +29,28 @@ def first_reason(reasons: list[tuple[str, Column]]) -> Column:
     return out
 
 
-def admit(index: DataFrame, runs: DataFrame, origins: DataFrame, production: list[str], seed_production: list[str]) -> DataFrame:
-    """Mark each capture of the index with the first reason not to read it, and whether it is admitted.
+def admit(index: DataFrame, runs: DataFrame, seeds: DataFrame, main_ref: str = "refs/heads/main") -> DataFrame:
+    """Mark each capture of the index with the first reason not to read it, and whether it is admitted; ``flagged_revalidation`` tells admitted ones whose shape failed when it was looked at again.
 
-    ``index``: capture_key, run_id, usable, season, scope; ``runs``: run_id, origin_kind (finalised runs only);
-    ``origins``: run_id, origin_kind of runs without a manifest of their own.
+    ``index``: capture_key, run_id, usable, season, shape_ok, shape_source; ``runs``: run_id, origin_kind, origin_ref of finalised runs;
+    ``seeds``: run_id, origin_kind of runs whose manifests don't say. Only a port of history may do without a finalised run, whatever
+    its scope; only the CI of the main branch and seeded CI or history count as production.
     """
-    r = runs.select("run_id", F.col("origin_kind").alias("run_kind"), F.lit(True).alias("finalized"))
-    o = origins.select("run_id", F.col("origin_kind").alias("seed_kind"))
+    r = runs.select("run_id", F.col("origin_kind").alias("_run_kind"), F.col("origin_ref").alias("_ref"), F.lit(True).alias("_finalized"))
+    o = seeds.select("run_id", F.col("origin_kind").alias("_seed_kind"))
     j = index.join(r, "run_id", "left").join(o, "run_id", "left")
-    known = F.coalesce("run_kind", "seed_kind")
+    of_main = (F.col("_run_kind") == "ci") & F.coalesce(F.col("_ref") == main_ref, F.lit(False))
     reason = first_reason([
-        ("run_not_finalized", F.col("finalized").isNull() & ~F.col("seed_kind").eqNullSafe("history_port") & (F.col("scope") == "live")),
-        ("origin_unknown", known.isNull()),
-        ("not_production", F.col("run_kind").isNotNull() & ~F.col("run_kind").isin(production)),
-        ("not_production_seed", F.col("run_kind").isNull() & ~F.col("seed_kind").isin(seed_production)),
+        ("run_not_finalized", F.col("_finalized").isNull() & ~F.col("_seed_kind").eqNullSafe("history_port")),
+        ("origin_unknown", F.coalesce("_run_kind", "_seed_kind").isNull()),
+        ("not_production", F.col("_run_kind").isNotNull() & ~of_main),
+        ("not_production", F.col("_run_kind").isNull() & ~F.col("_seed_kind").isin("ci", "history_port")),
         ("unusable", ~F.coalesce(F.col("usable"), F.lit(False))),
         ("null_season", F.col("season").isNull()),
     ])
-    return j.withColumn("reason", reason).withColumn("admitted", F.col("reason").isNull()).select(*index.columns, "reason", "admitted")
+    out = j.withColumn("unadmitted_reason", reason).withColumn("admitted", F.col("unadmitted_reason").isNull())
+    again = F.col("shape_source").eqNullSafe("revalidated") & F.col("shape_ok").eqNullSafe(False)
+    return out.withColumn("flagged_revalidation", F.col("admitted") & again).select(*index.columns, "admitted", "flagged_revalidation", "unadmitted_reason")
 
 
 def retract(df: DataFrame, entity: list[str], key: list[str], capture: list[str]) -> DataFrame:

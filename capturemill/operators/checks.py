@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capturemill.functions.scalars import seconds_between
+from capturemill.operators.captures import latest
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -51,21 +52,41 @@ def null_exactly_when(df: DataFrame, condition: Column, columns: list[str]) -> D
 
 
 def freshness(endpoints: DataFrame, captures: DataFrame, now: Column, warn_hours: float = 6, error_hours: float = 18) -> DataFrame:
-    """Age of each endpoint's newest capture and its status; the limits are strict and an endpoint without a capture is an error."""
+    """Age of each endpoint's newest capture and its status by the exact age; the limits are strict, an endpoint without a capture is an error, and ``age_hours`` is rounded for show."""
     newest = captures.groupBy("endpoint").agg(F.max("received_at").alias("newest"))
-    age = F.round(seconds_between(F.col("newest"), now) / 3600.0, 2)
-    j = endpoints.join(newest, "endpoint", "left").withColumn("age_hours", age)
-    late = F.when(F.col("exempt"), "exempt").when(F.col("newest").isNull() | (F.col("age_hours") > error_hours), "error").when(F.col("age_hours") > warn_hours, "warn").otherwise("ok")
-    return j.withColumn("status", late)
+    j = endpoints.join(newest, "endpoint", "left").withColumn("_age", seconds_between(F.col("newest"), now) / 3600.0)
+    late = F.when(F.col("exempt"), "exempt").when(F.col("newest").isNull() | (F.col("_age") > error_hours), "error").when(F.col("_age") > warn_hours, "warn").otherwise("ok")
+    return j.withColumn("status", late).withColumn("age_hours", F.round("_age", 1)).drop("_age")
 
 
-def missed_windows(moments: DataFrame, captures: DataFrame, keys: list[str], moment: str, time: str, minutes: int, now: Column) -> DataFrame:
-    """Moments that have passed without a capture in the ``minutes`` before them."""
+def missed_windows(moments: DataFrame, captures: DataFrame, keys: list[str], moment: str, time: str, minutes: int, now: Column, key: list[str] | None = None, newest: list[Column] | None = None, since: Column | None = None) -> DataFrame:
+    """Moments before ``now`` without a capture in the ``minutes`` before them.
+
+    With ``key`` and ``newest`` (an order) only the newest moment of each key counts; moments before ``since`` precede the coverage.
+    """
+    if key is not None:
+        moments = latest(moments, key, newest)
+    due = moments.filter(F.col(moment) < now)
+    due = due if since is None else due.filter(F.col(moment) >= since)
     c = captures.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(time).alias("_t"))
     cond = (F.col("_t") < F.col(moment)) & (F.col("_t") >= F.col(moment) - F.make_dt_interval(mins=F.lit(minutes)))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_k_{k}"))
-    return moments.filter(F.col(moment) <= now).join(c, cond, "left_anti")
+    return due.join(c, cond, "left_anti")
+
+
+def latest_live_captures(admitted: DataFrame) -> DataFrame:
+    """The admitted captures of each endpoint's newest run, history left aside. ``admitted``: endpoint, run_id, observed_at, capture_key, scope."""
+    live = admitted.filter(~F.col("scope").eqNullSafe("history")).withColumn("endpoint", F.split_part("endpoint", F.lit("/"), F.lit(1)))
+    newest = live.groupBy("endpoint").agg(F.max(F.struct("observed_at", "run_id")).alias("_newest"))
+    return live.join(newest, "endpoint").filter(F.col("run_id") == F.col("_newest.run_id")).drop("_newest")
+
+
+def capture_findings(endpoints: DataFrame, latest_live: DataFrame, payloads: DataFrame) -> DataFrame:
+    """``endpoint, finding, captures``: endpoints without an admitted live capture, and those with captures whose payload isn't there. A source that has vanished can't pass."""
+    none = endpoints.select("endpoint").distinct().join(latest_live, "endpoint", "left_anti").select("endpoint", F.lit("no admitted live capture").alias("finding"), F.lit(0).cast("long").alias("captures"))
+    gone = latest_live.join(payloads.select("capture_key").distinct(), "capture_key", "left_anti").groupBy("endpoint").agg(F.count(F.lit(1)).alias("captures"))
+    return none.unionByName(gone.select("endpoint", F.lit("captures without a payload").alias("finding"), "captures"))
 
 
 def count_mismatch(declared: DataFrame, rows: DataFrame, key: str, size: str) -> DataFrame:
@@ -108,3 +129,15 @@ def unstaged(admitted: DataFrame, staged: list[DataFrame], key: str) -> DataFram
     for s in staged[1:]:
         all_keys = all_keys.union(s.select(key))
     return admitted.join(all_keys.distinct(), key, "left_anti")
+
+
+def unstaged_by_endpoint(admitted: DataFrame, staged: dict[str, list[DataFrame]], severity: dict[str, str]) -> DataFrame:
+    """Admitted captures of the endpoints in ``staged`` that none of an endpoint's relations has, with the endpoint's severity (``error`` unless given)."""
+    spark = admitted.sparkSession
+    scope = spark.createDataFrame([(e, severity.get(e, "error")) for e in staged], "endpoint string, severity string")
+    here = admitted.withColumn("endpoint", F.split_part("endpoint", F.lit("/"), F.lit(1))).join(F.broadcast(scope), "endpoint")  # a row for each endpoint
+    seen = spark.createDataFrame([], "endpoint string, capture_key string")
+    for e, relations in staged.items():
+        for r in relations:
+            seen = seen.union(r.select(F.lit(e), "capture_key"))
+    return here.join(seen.distinct(), ["endpoint", "capture_key"], "left_anti").select("endpoint", "season", "run_id", "capture_key", "observed_at", "severity")

@@ -14,15 +14,15 @@ def spine(entities: DataFrame, periods: DataFrame, season: list[str]) -> DataFra
 
 
 def fill_spine(grid: DataFrame, facts: DataFrame, keys: list[str], fact_key: str, additive: dict[str, Column], last: dict[str, Column], order: list[str], flags: dict[str, Column] | None = None) -> DataFrame:
-    """Left join of facts to the grid with one row per key: ``n_facts`` (0 for blanks), additive sums (null for blanks), values of the last fact by ``order``, and all-of flags."""
+    """Left join of facts to the grid with one row per key: ``n_facts`` (0 for blanks), additive sums (null for blanks), each value of the last fact by ``order`` that has one, and all-of flags."""
     f = facts.groupBy(*keys).agg(
         F.count(fact_key).cast("int").alias("n_facts"),
         *[F.sum(c).alias(k) for k, c in additive.items()],
-        F.max_by(F.struct(*[c.alias(k) for k, c in last.items()]), F.struct(*order)).alias("_last") if last else F.lit(None).alias("_last"),
+        *[F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(k) for k, c in last.items()],
         *[F.bool_and(c).alias(k) for k, c in (flags or {}).items()],
     )
     j = grid.join(f, keys, "left")
-    return j.select(*grid.columns, F.coalesce("n_facts", F.lit(0)).alias("n_facts"), *additive, *[F.col(f"_last.{k}").alias(k) for k in last], *(flags or {}))
+    return j.select(*grid.columns, F.coalesce("n_facts", F.lit(0)).alias("n_facts"), *additive, *last, *(flags or {}))
 
 
 def count_at_moment(requests: DataFrame, groups: DataFrame, schedule: DataFrame, season: str, moment: str, entity: str, group: str, item: str, period: str, sides: list[str]) -> DataFrame:

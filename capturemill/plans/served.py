@@ -147,6 +147,27 @@ def manager_grid(panel: DataFrame, markers: DataFrame, captures: DataFrame) -> D
     return grid_status(panel.join(joined, ["season", "entry_id"], "left"), markers.select("season", "gameweek").distinct(), win, ["season"], ["season", "entry_id"], "gameweek", "joined", "capture_key")
 
 
+def dim_manager_panel(panel: DataFrame, markers: DataFrame, captures: DataFrame) -> DataFrame:
+    """The panel with the first settled period that each manager has a capture of."""
+    first = captures.select("season", "entry_id", "gameweek").join(markers.select("season", "gameweek").distinct(), ["season", "gameweek"]).groupBy("season", "entry_id").agg(F.min("gameweek").alias("first_active_gw"))
+    return panel.select("season", "entry_id", "cohort").join(first, ["season", "entry_id"], "left")
+
+
+def manager_gameweek_points(grid: DataFrame, captures: DataFrame, picks: DataFrame, players: DataFrame) -> DataFrame:
+    """The publisher's points of each captured period beside those rebuilt from picks and players; unknown players count 0."""
+    c = captures.select("capture_key", "active_chip", F.col("points").alias("fpl_points"))
+    g = grid.filter("status = 'captured'").select("season", "entry_id", "gameweek", "capture_key").join(c, "capture_key").join(picks.select("capture_key", "fpl_id", "multiplier"), "capture_key")
+    j = g.join(players.select("season", "gameweek", "fpl_id", "total_points"), ["season", "gameweek", "fpl_id"], "left")
+    return j.groupBy("season", "entry_id", "gameweek", "active_chip", "fpl_points").agg(F.sum(F.col("multiplier") * F.coalesce("total_points", F.lit(0))).alias("rebuilt_points"))
+
+
+def history_mismatch(captures: DataFrame, facts: DataFrame) -> DataFrame:
+    """Captures whose array's length isn't the number of their staged rows."""
+    n = facts.groupBy("capture_key").agg(F.count(F.lit(1)).alias("_n"))
+    j = captures.join(n, "capture_key", "left").withColumn("staged_rows", F.coalesce("_n", F.lit(0)))
+    return j.filter(~F.col("history_count").eqNullSafe(F.col("staged_rows"))).select("season", "run_id", "capture_key", "observed_at", F.col("history_count").alias("expected_rows"), "staged_rows")
+
+
 def fct_manager_gameweek(grid: DataFrame, captures: DataFrame) -> DataFrame:
     c = captures.select("capture_key", "active_chip", "event_transfers", "event_transfers_cost", "automatic_subs", F.nullif(F.col("overall_rank"), F.lit(0)).alias("overall_rank"))
     return grid.filter("status = 'captured'").join(c, "capture_key").select("season", "entry_id", "gameweek", "cohort", *c.columns[1:])

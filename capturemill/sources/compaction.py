@@ -5,10 +5,14 @@ Only names and small manifests are handled on the driver; payloads are read, has
 
 from __future__ import annotations
 
+import datetime
 import json
+import shutil
 import time
+from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,20 +48,31 @@ def manifests(dest: str) -> dict[str, dict]:
 
 
 def compact_day(spark: SparkSession, day: str, files: list[str], fields: dict, dest: str, index: dict[str, str] | None = None, strip: str = "") -> dict:
-    """Write a day's payloads as one Parquet part, reconcile, and write its manifest last.
+    """Write a day's payloads as one Parquet part, reconcile, and only then put it in its place and write its manifest.
 
-    Files, rows' distinct paths and (with ``index``: key to sha256) keys and digests must agree.
+    Files, the part's rows against those of the files, its distinct paths and (with ``index``: key to sha256) keys and digests must agree.
+    A part that doesn't reconcile never takes the place of one that did.
     """
-    part = str(Path(dest, day))
-    read_captures(spark, files, fields).coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(part)
-    got = spark.read.parquet(part).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("path").alias("p")).first()
-    if got.p != len(files):
-        raise CompactionError(f"{day}: {len(files)} files, {got.p} in the part")
-    if index is not None:
-        raw = spark.read.format("binaryFile").load(files).select("path", F.sha2("content", 256).alias("sha"))
-        seen = {(r.path.split(strip, 1)[-1] if strip else r.path): r.sha for r in raw.toLocalIterator()}
-        if seen != index:
-            raise CompactionError(f"{day}: keys or digests differ from the index")
+    new_part, part = Path(dest, f".new-{day}"), Path(dest, day)
+    raw_rows = read_captures(spark, files, fields)
+    raw_rows.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(str(new_part))
+    try:
+        got = spark.read.parquet(str(new_part)).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("path").alias("p")).first()
+        if got.p != len(files):
+            raise CompactionError(f"{day}: {len(files)} files, {got.p} in the part")
+        if got.n != (rows := raw_rows.count()):
+            raise CompactionError(f"{day}: {rows} rows in the files, {got.n} in the part")
+        if index is not None:
+            raw = spark.read.format("binaryFile").load(files).select("path", F.sha2("content", 256).alias("sha"))
+            seen = {(r.path.split(strip, 1)[-1] if strip else r.path): r.sha for r in raw.toLocalIterator()}
+            if seen != index:
+                raise CompactionError(f"{day}: keys or digests differ from the index")
+    except CompactionError:
+        shutil.rmtree(new_part)
+        raise
+    if part.exists():
+        shutil.rmtree(part)
+    new_part.rename(part)
     manifest = {"capture_day": day, "payload_files": len(files), "parquet_rows": got.n, "distinct_filenames": got.p}
     folder = Path(dest, "_manifest")
     folder.mkdir(parents=True, exist_ok=True)
@@ -67,37 +82,43 @@ def compact_day(spark: SparkSession, day: str, files: list[str], fields: dict, d
     return manifest
 
 
-def select_days(root: str, dest: str, today: str) -> list[str]:
-    """Closed days with payloads and no manifest yet, oldest first."""
+def select_days(root: str, dest: str, today: str, runs: list[dict] = (), close_days: int = 1) -> list[str]:
+    """Closed days with payloads and no manifest yet, oldest first.
+
+    A day is closed ``close_days`` before ``today`` (a date in ISO form), and while no run of the day (``extraction_date``) is IN_PROGRESS.
+    """
     done = manifests(dest)
-    return [d for d in sorted(days_of(root)) if d < today and d not in done]
+    last = (datetime.date.fromisoformat(today) - datetime.timedelta(days=close_days)).isoformat()
+    busy = {r.get("extraction_date") for r in runs if r.get("status") == "IN_PROGRESS"}
+    return [d for d in sorted(days_of(root)) if d <= last and d not in done and d not in busy]
 
 
-def run_step(spark: SparkSession, root: str, dest: str, fields: dict, today: str, budget_seconds: float) -> tuple[list[str], dict[str, str]]:
-    """Compact days until the budget is spent; a begun day ends, and a failing day is left for the next run."""
+def run_step(spark: SparkSession, root: str, dest: str, fields: dict, today: str, budget_seconds: float, index: dict[str, dict[str, str]] | None = None, strip: str = "", runs: list[dict] = (), close_days: int = 1) -> tuple[list[str], dict[str, str]]:
+    """Compact days until the budget is spent; a begun day ends, and a failing day, whatever its error, is left for the next run. ``index`` has keys and digests by day."""
     began, done, failed = time.monotonic(), [], {}
     files = days_of(root)
-    for day in select_days(root, dest, today):
+    for day in select_days(root, dest, today, runs, close_days):
         if time.monotonic() - began >= budget_seconds:
             break
         try:
-            compact_day(spark, day, files[day], fields, dest)
+            compact_day(spark, day, files[day], fields, dest, None if index is None else index.get(day, {}), strip)
             done.append(day)
-        except CompactionError as e:
+        except (CompactionError, PySparkException, OSError) as e:
             failed[day] = str(e)
     return done, failed
 
 
 def compacted_read(spark: SparkSession, root: str, dest: str, fields: dict) -> DataFrame:
-    """Days with a manifest from their parts, all others from raw files; each part is coerced to the declared shape before the union."""
+    """Days with a manifest from their parts, all others from raw files, each coerced to the declared shape. Parts of one schema are one scan, however many days there are."""
     done, raw = manifests(dest), days_of(root)
-    parts = [declared_typed(spark.read.parquet(str(Path(dest, d))), fields, ["path"]) for d in sorted(done)]
+    by_schema: dict[str, list[str]] = {}
+    for d in sorted(done):
+        part = str(Path(dest, d))
+        by_schema.setdefault(spark.read.parquet(part).schema.json(), []).append(part)
+    parts = [declared_typed(spark.read.parquet(*of), fields, ["path"]) for of in by_schema.values()]
     tail = [f for d, fs in sorted(raw.items()) if d not in done for f in fs]
     if tail:
         parts.append(declared_typed(read_captures(spark, tail, fields), fields, ["path"]))
     if not parts:
         raise CompactionError("there is nothing to read")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)

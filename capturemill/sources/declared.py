@@ -62,13 +62,27 @@ def cast_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
     def one(c: str) -> Column:
         v = F.nullif(F.col(c), F.lit("")) if dict(df.dtypes)[c] == "string" else F.col(c)
-        return (F.round(v.cast("double")) if kinds[c] in ("int", "bigint") else v).cast(kinds[c])
+        # As decimals, so that no digit of a large integer is lost.
+        return (F.round(v.cast("decimal(38,9)")) if kinds[c] in ("int", "bigint") else v).cast(kinds[c])
 
     return df.select(*[one(c).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
+def parsed(payloads: DataFrame, fields: Declaration, path: str) -> DataFrame:
+    """``capture_key`` and the declared columns of the records at ``path`` in JSON texts (capture_key, body). An unreadable body gives no record."""
+    kind = declared_schema(fields)
+    if path == "$[*]":
+        return payloads.select("capture_key", F.explode(F.from_json("body", T.ArrayType(kind))).alias("_r")).select("capture_key", "_r.*")
+    whole = payloads.select("capture_key", F.from_json("body", kind).alias("_r")).filter(F.to_json("_r") != "{}").select("capture_key", "_r.*")
+    return declared_records(whole, fields, path, ["capture_key"])
+
+
+INDEX_COLUMNS = ["capture_key", "run_id", "index_source", "scope", "endpoint", "received_at", "content_sha256", "content_length", "http_status", "shape_ok", "usable", "season", "shape_source", "validator_version"]
+
+
 def capture_index(manifests: DataFrame, catalog: DataFrame) -> DataFrame:
-    """One row per capture: those of finalised runs' manifests and all of the backfill catalog."""
-    m = manifests.filter("status <> 'IN_PROGRESS'").select("run_id", F.lit("live").alias("scope"), F.explode("captures").alias("c")).select("run_id", "scope", "c.*")
-    c = catalog.select("run_id", "scope", F.explode("captures").alias("c")).select("run_id", "scope", "c.*")
-    return m.unionByName(c, allowMissingColumns=True)
+    """One row per capture: those of finalised runs' manifests, which have no scope, and all of the backfill catalog."""
+    m = manifests.filter("status <> 'IN_PROGRESS'").select("run_id", F.lit("manifest").alias("index_source"), F.explode("captures").alias("c")).select("run_id", "index_source", "c.*")
+    c = catalog.select("run_id", "scope", F.lit("catalog").alias("index_source"), F.explode("captures").alias("c")).select("run_id", "scope", "index_source", "c.*")
+    both = m.unionByName(c, allowMissingColumns=True).withColumnRenamed("key", "capture_key")
+    return both.withColumn("received_at", F.col("received_at").cast("timestamp_ntz")).select(*INDEX_COLUMNS)

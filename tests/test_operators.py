@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from capturemill.operators import asof, captures, checks, diff, history
-from capturemill.plans.catalogue import ORACLE_SQL, QUERIES
+from capturemill.functions import scalars
+from capturemill.operators import asof, captures, checks, diff, history, spine
+from capturemill.plans.relations import ORACLE_SQL, QUERIES
+from capturemill.sources import declared
 
 SF = "/root/testdata/sf0.001"
 T = datetime(2024, 1, 1)
@@ -71,11 +73,49 @@ def test_rollup_of_nulls_is_false(spark):
 
 
 def test_admission_cascade_takes_the_first_reason(spark):
-    index = spark.createDataFrame([("a", "r1", True, "s", "live"), ("b", "r2", True, "s", "live"), ("c", "r3", None, "s", "live"), ("d", "r3", True, None, "live"), ("e", "r3", True, "s", "live"), ("f", "r4", True, "s", "live")], "capture_key string, run_id string, usable boolean, season string, scope string")
-    runs = spark.createDataFrame([("r2", "local"), ("r3", "ci"), ("r4", None)], "run_id string, origin_kind string")
-    none = spark.createDataFrame([], "run_id string, origin_kind string")
-    got = {r.capture_key: r.reason for r in captures.admit(index, runs, none, ["ci"], ["ci"]).collect()}
-    assert got == {"a": "run_not_finalized", "b": "not_production", "c": "unusable", "d": "null_season", "e": None, "f": "origin_unknown"}
+    rows = [("a", "r1", True, "s"), ("b", "r2", True, "s"), ("c", "r3", None, "s"), ("d", "r3", True, None), ("e", "r3", True, "s"), ("f", "r4", True, "s"), ("g", "r5", True, "s"), ("h", "r6", True, "s"), ("i", "r7", True, "s")]
+    index = spark.createDataFrame([(*r, False, "revalidated" if r[0] in "eb" else None) for r in rows], "capture_key string, run_id string, usable boolean, season string, shape_ok boolean, shape_source string")
+    runs = spark.createDataFrame([("r2", "local", "refs/heads/main"), ("r3", "ci", "refs/heads/main"), ("r4", None, None), ("r5", "ci", "refs/heads/other")], "run_id string, origin_kind string, origin_ref string")
+    seeds = spark.createDataFrame([("r6", "ci"), ("r7", "history_port")], "run_id string, origin_kind string")
+    got = {r.capture_key: (r.unadmitted_reason, r.flagged_revalidation) for r in captures.admit(index, runs, seeds).collect()}
+    want = {"a": "run_not_finalized", "b": "not_production", "c": "unusable", "d": "null_season", "e": None, "f": "origin_unknown", "g": "not_production", "h": "run_not_finalized", "i": None}
+    assert got == {k: (v, k == "e") for k, v in want.items()}
+
+
+def test_freshness_uses_the_exact_age(spark):
+    ends = spark.createDataFrame([("x", False)], "endpoint string, exempt boolean")
+    for seconds, status in ((6 * 3600, "ok"), (6 * 3600 + 10, "warn"), (18 * 3600 + 1, "error")):
+        c = spark.createDataFrame([("x", T)], "endpoint string, received_at timestamp_ntz")
+        r = checks.freshness(ends, c, F.lit(T + timedelta(seconds=seconds)).cast("timestamp_ntz")).first()
+        assert r.status == status and r.age_hours == round(seconds / 3600, 1)
+
+
+def test_missed_windows_of_the_newest_moments(spark):
+    m = spark.createDataFrame([("s", 1, T, 1), ("s", 1, T + timedelta(hours=9), 2), ("s", 2, T - timedelta(days=9), 1), ("s", 3, T + timedelta(hours=10), 1)], "season string, gw int, at timestamp_ntz, seen int")
+    c = spark.createDataFrame([("s", T - timedelta(minutes=5)), ("t", T + timedelta(hours=9) - timedelta(minutes=5))], "season string, t timestamp_ntz")
+    now = F.lit(T + timedelta(hours=10)).cast("timestamp_ntz")
+    got = checks.missed_windows(m, c, ["season"], "at", "t", 60, now, ["season", "gw"], [F.desc("seen")], F.lit(T).cast("timestamp_ntz")).collect()
+    assert [(r.gw, r.at) for r in got] == [(1, T + timedelta(hours=9))]
+
+
+def test_vanished_sources_are_found(spark):
+    a = spark.createDataFrame([("x", "r1", T, "k1", None), ("x", "r2", T + timedelta(1), "k2", None), ("y/1", "r1", T, "k3", "history"), ("z", "r2", T, "k4", None)], "endpoint string, run_id string, observed_at timestamp_ntz, capture_key string, scope string")
+    last = checks.latest_live_captures(a)
+    assert {r.capture_key for r in last.collect()} == {"k2", "k4"}
+    got = checks.capture_findings(spark.createDataFrame([("x",), ("y",), ("z",)], "endpoint string"), last, spark.createDataFrame([("k2",)], "capture_key string"))
+    assert {tuple(r) for r in got.collect()} == {("y", "no admitted live capture", 0), ("z", "captures without a payload", 1)}
+
+
+def test_last_value_skips_nulls(spark):
+    f = spark.createDataFrame([(1, 1, "a"), (1, 2, None)], "k int, t int, v string")
+    assert spine.fill_spine(f.select("k").distinct(), f, ["k"], "t", {}, {"v": F.col("v")}, ["t"]).first().v == "a"
+
+
+def test_keys_and_casts(spark):
+    d = spark.createDataFrame([("s3://b/raw/fpl/x/2024/payload.json",), ("s3://b/history/2024-25/fpl/x/payload.json",)], "p string")
+    assert [r[0] for r in d.select(scalars.capture_key(F.col("p"), "fpl")).collect()] == ["raw/fpl/x/2024/payload.json", "history/2024-25/fpl/x/payload.json"]
+    n = spark.createDataFrame([("9007199254740993", "1.6", "")], "a string, b string, c string")
+    assert tuple(declared.cast_columns(n, {"a": "bigint", "b": "int", "c": "int"}).first()) == (9007199254740993, 2, None)
 
 
 def test_checks_need_bounds_and_pass_nulls(spark):
