@@ -11,22 +11,28 @@ small). A pair whose shared places, with all that lies beyond the prefixes, can'
 
 Set relations save the rest. Lists of up to ``SHORT`` sets are joined at once. In a longer list each member is first
 compared with one leader of its size block, the member with the fewest rarer shingles before the list's. A set that is
-similar to its leader takes over the leader's answer, the component; as only components are asked for, no pair within a
-component is compared any more. Lists whose members are of one component by then are done. The others are gone through
-again: first with the most linked members as leaders, then all pairs of different components, without exception. So no
-link between components is missed, and a group of copies costs a number of comparisons in proportion to its members.
+similar to its leader takes over the leader's answer, the component; to find components, no pair within one is compared any
+more. Lists whose members are of one component by then are done. The others are gone through again: first with the most linked
+members as leaders, then all pairs of different components, without exception. So no link between components is missed.
 The last step deals a list of more than ``BLOCK`` sets out to pairs of blocks, so that no list is worked in one task; puts lists
 with one most linked component side by side, as they have mostly the same pairs, which are then summed at once; and leaves out pairs whose bitmaps (parities of the shingles by place) differ in more bits than the sets may differ in shingles.
 
+Links are then counted within each component, where all links are. Each set is put as its difference from the component's most linked
+set, which is small for near copies, and two sets differ in what their differences don't share. So a set's answers follow from the leader's
+and the few shingles of two differences. Components of more than ``LINK_SETS`` sets are dealt out to pairs of blocks. A document's links
+are those of its class: the documents of all similar sets, and the others of its own.
+
 Sizes of what moves: a quarter of the shingles go into the index, once. The frequent shingles that are broadcast are
 ``most_frequent`` at most; the ids of texts to be compared are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond.
 
 Defined cases: null and empty texts have an empty set and link with nothing: they are components of their own. Fewer
-than ``n`` words: the whole sequence is the one shingle. Equal rows link. A component of rows that all lack an id has a null id.
+than ``n`` words: the whole sequence is the one shingle. Equal rows link and are counted one by one. A component of rows that all lack an id has a null id.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +46,8 @@ SHORT, SHARED = 8, 5
 SMALL_BITS, BITS, BLOCK = 256, 1024, 4096
 #: Rows of the lists that one key of the last step has, about.
 KEY_ROWS = 200_000
+#: Sets, and about the shingles, of one block in which links are counted.
+LINK_SETS, LINK_SHINGLES = 2048, 2_000_000
 #: Sets by which a list is split in the first pass, as the sample has it.
 SPLIT = 20_000
 
@@ -404,8 +412,94 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, by their exact intersection."""
+def _difference_groups(batches):
+    """Rows of equal keys (the first of six number columns) from a partition sorted by key: the other columns, and the differences' lengths and shingles."""
+
+    def whole(pieces):
+        cols, lengths, values = zip(*pieces, strict=True)
+        return [np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(lengths), np.concatenate(values)
+
+    rest, last = [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key, *cols = (b.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        lengths, values = b.column(6).value_lengths().to_numpy(zero_copy_only=False), b.column(6).flatten().to_numpy()
+        at = np.concatenate(([0], np.cumsum(lengths)))
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)])).tolist()
+        for s, e in zip(edges[:-1], edges[1:], strict=True):
+            if rest and key[s] != last:
+                yield whole(rest)
+                rest = []
+            rest.append(([c[s:e] for c in cols], lengths[s:e], values[at[s] : at[e]]))
+            last = key[s]
+    if rest:
+        yield whole(rest)
+
+
+def group_links(n, w, block, apart: bool, lengths, values, percent: int) -> np.ndarray:
+    """The documents linked with each set of a group: sets of ``n`` shingles and ``w`` documents, told by their differences from one set. With ``apart`` only pairs across blocks count."""
+    _, token, times = np.unique(values, return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(n)), lengths)[np.argsort(token, kind="stable")]
+    ends = np.cumsum(times)
+    at = np.concatenate(([0], np.cumsum(lengths)))
+    slack = (100 + percent) * lengths.astype(np.int64) - (100 - percent) * n.astype(np.int64)
+    out = np.zeros(len(n), dtype=np.int64)
+    for i in range(len(n)):
+        of = block != block[i] if apart else np.ones(len(n), dtype=bool)
+        of[i] = False
+        if (slack[i] + slack[of] > 0).any():  # else all are similar, whatever the differences share
+            lists = [rows[ends[t] - times[t] : ends[t]] for t in token[at[i] : at[i + 1]].tolist() if times[t] > 1]
+            shared = np.bincount(np.concatenate(lists), minlength=len(n)) if lists else 0
+            of &= slack[i] + slack <= 2 * (100 + percent) * shared
+        out[i] = w[of].sum()
+    return out
+
+
+def _group_counts(percent: int):
+    def run(batches):
+        import pyarrow as pa
+
+        sids, links, waiting = [], [], 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sids), pa.int64()), pa.array(np.concatenate(links), pa.int64())], names=["sid", "links"])
+
+        for (sid, n, w, own, other), lengths, values in _difference_groups(batches):
+            sids.append(sid)
+            links.append(group_links(n, w, own, bool((own != other).any()), lengths, values, percent))
+            waiting += len(sid)
+            if waiting > 50_000:
+                yield batch()
+                sids, links, waiting = [], [], 0
+        if sids:
+            yield batch()
+
+    return run
+
+
+def _linked(classes: DataFrame, comp: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``sid, comp, n_links`` of every set: the number of documents that link with each of its documents."""
+    own = checkpointed(classes.filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("w")))
+    degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count(F.lit(1)).alias("rank"))
+    nodes = comp.join(own, comp["node"] == own["sid"]).join(degree, comp["node"] == degree["s"]).select("sid", "comp", "n", "w", "rank")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / LINK_SETS), F.ceil(F.sum("n") / LINK_SHINGLES)).cast("int")
+    groups = nodes.groupBy("comp").agg(F.max_by("sid", F.struct("rank", "sid")).alias("lead"), blocks.alias("blocks"))
+    nodes = nodes.join(groups, "comp").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    members = written(sets.dropDuplicates(["sid"]).join(nodes, "sid").drop("rank"))
+    # A leader meets each block of its component apart, so that a large component is no single key.
+    leads = members.filter("sid = lead").select("comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), F.col("s").alias("r"))
+    told = members.join(leads, ["comp", "own"]).withColumn("d", F.concat(F.array_except("s", "r"), F.array_except("r", "s")))
+    told = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    lo, hi = F.least("own", "other"), F.greatest("own", "other")
+    told = told.select(F.xxhash64("comp", lo, hi).alias("key"), "sid", "n", "w", "own", "other", "d").repartition("key").sortWithinPartitions("key")
+    counts = told.mapInArrow(trimmed(_group_counts(percent)), "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links"))
+    found = own.join(comp, own["sid"] == comp["node"], "left").join(counts, "sid", "left")
+    return checkpointed(found.select("sid", "comp", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int, seen: list[DataFrame]) -> DataFrame:
+    """The pairs whose sets are similar enough, by their exact intersection. The table of their sets goes to ``seen``."""
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     wanted = checkpointed(nodes.join(reps, "sid").select("sid", F.col("rep").alias("_rep")))
     count = wanted.count()
@@ -413,6 +507,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percen
     texts = rows.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, rows["doc_id"].eqNullSafe(ids["_rep"]), "left_semi")
     # One text stands for each set; should its id be repeated, a set or a link is listed twice, which changes nothing.
     sets = written(texts.select("text").mapInArrow(trimmed(_sets(n)), "sid long, s array<long>"))
+    seen.append(sets)
     x, y = sets.select(F.col("sid").alias("a"), F.col("s").alias("x")), sets.select(F.col("sid").alias("b"), F.col("s").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     hit = both * 100 >= percent * (F.size("x") + F.size("y") - both)
@@ -420,11 +515,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percen
 
 
 def similar_components(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    whole = _grouped(docs, n, percent, sample, most_frequent, split, id_col, text_col)
+    """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``; ``n_links`` counts the other rows that it links with."""
+    whole = _grouped(docs, n, percent, sample, most_frequent, split, id_col, text_col, count_links=True)
     least = whole.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
     out = whole.join(least, (whole["group"] == least["group"]) & (whole["n"] > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "n_links")
 
 
 def _row_hash(docs: DataFrame):
@@ -432,8 +527,8 @@ def _row_hash(docs: DataFrame):
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n, group, row`` for every row of ``docs``: the number of its shingles, its component by set, and the hash of the row."""
+def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False) -> DataFrame:
+    """``doc_id, n, group, row`` for every row of ``docs``: the number of its shingles, its component by set, and the hash of the row; with ``count_links`` also ``n_links``."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _row_hash(docs).alias("row"))
@@ -451,7 +546,8 @@ def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, m
     short = lists.filter("kind = 1")
     long = lists.filter("kind = 0").select(F.col("x").alias("token"), F.col("y").alias("sid"), F.col("n1").alias("n"), F.col("p1").alias("pos"))
     pairs = checkpointed(_worth(short, percent).unionByName(_worth(lists.filter("kind = 2"), percent, 3)).distinct())
-    done, links, comp = pairs, checkpointed(_verified(pairs, rows, reps, n, percent)), None
+    sets: list[DataFrame] = []
+    done, links, comp = pairs, checkpointed(_verified(pairs, rows, reps, n, percent, sets)), None
     for step in ("linked leaders", "all"):
         comp = checkpointed(components(links))
         if long.isEmpty():
@@ -484,13 +580,15 @@ def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, m
         pairs = checkpointed(found.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
-            links = released(checkpointed(links.unionByName(_verified(pairs, rows, reps, n, percent))))
+            links = released(checkpointed(links.unionByName(_verified(pairs, rows, reps, n, percent, sets))))
             comp = None
     if comp is None:
         comp = checkpointed(components(links))
-    whole = classes if comp is None else classes.join(comp, classes["sid"] == comp["node"], "left")
-    group = F.col("sid") if comp is None else F.coalesce("comp", "sid")
-    return whole.select("doc_id", "n", group.alias("group"), "row")
+    if not count_links:
+        return classes.join(comp, classes["sid"] == comp["node"], "left").select("doc_id", "n", F.coalesce("comp", "sid").alias("group"), "row")
+    told = _linked(classes, comp, links, reduce(DataFrame.union, sets), percent)
+    whole = classes.join(told.withColumnRenamed("sid", "node"), classes["sid"] == F.col("node"), "left")
+    return whole.select("doc_id", "n", F.coalesce("comp", "sid").alias("group"), "row", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def min_keep(docs: DataFrame, **kw) -> DataFrame:

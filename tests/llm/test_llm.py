@@ -49,7 +49,10 @@ def test_jaccard_components(docs):
                 a, b = group[i], group[j]
                 group = [b if g == a else g for g in group]
     want = collections.Counter((rows[i][0], len(sets[i]), min((rows[k][0] for k in range(len(rows)) if group[k] == group[i] and rows[k][0] is not None), default=None)) for i in range(len(rows)))
-    assert collections.Counter(tuple(r) for r in jaccard.similar_components(docs).collect()) == want
+    got = jaccard.similar_components(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    links = [sum(1 for j in range(len(rows)) if i != j and sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])) for i in range(len(rows))]
+    assert collections.Counter((r.doc_id, r.n_links) for r in got) == collections.Counter((rows[i][0], k) for i, k in enumerate(links))
 
 
 def test_jaccard_of_a_large_group_of_copies(spark):
@@ -63,6 +66,27 @@ def test_jaccard_of_a_large_group_of_copies(spark):
     assert {r.component_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("most, shingles", [(2048, 2_000_000), (7, 2_000_000), (2048, 900)])
+def test_jaccard_links_within_groups(spark, monkeypatch, most, shingles):
+    """Near copies at all distances, some of them with exact copies: every link is counted, in one block and in several."""
+    monkeypatch.setattr(jaccard, "LINK_SETS", most)
+    monkeypatch.setattr(jaccard, "LINK_SHINGLES", shingles)
+    rows = []
+    for g in range(3):
+        base = _text(30 + g, 110).split()
+        for i in range(30):
+            t = list(base)
+            for k in range(i % 7):
+                t[(17 * i + 31 * k) % 110] = f"e{g}x{i % 4}x{k}"
+            rows += [(len(rows), " ".join(t))] * (1 + (i % 11 == 0))
+    rows += [(1000 + i, _text(400 + i, 60)) for i in range(5)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (_words(t) for _, t in rows)]
+    want = collections.Counter((rows[i][0], sum(1 for j in range(len(rows)) if i != j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]))) for i in range(len(rows)))
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert collections.Counter((r.doc_id, r.n_links) for r in got) == want
+    assert len({k for _, k in want}) > 5  # neither all pairs nor none
+
+
 def test_jaccard_lists_in_blocks(spark, monkeypatch):
     """Many unlike texts with one passage: their long lists are dealt to blocks, and near copies among them are found."""
     monkeypatch.setattr(jaccard, "BLOCK", 7)
