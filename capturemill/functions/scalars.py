@@ -33,6 +33,6 @@ def capture_key(path: Column, root: str) -> Column:
     return F.when(above.rlike(r"^\d{4}-\d{2}$"), F.concat(F.lit("history/"), above, F.lit("/"), rest)).otherwise(F.concat(F.lit("raw/"), rest))
 
 
-def utc_now() -> Column:
-    """The moment of the query in UTC, without a zone."""
-    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+def utc_now(pinned: str | None = None) -> Column:
+    """The moment of the query in UTC, without a zone, or a pinned one."""
+    return F.lit(pinned).cast("timestamp_ntz") if pinned else F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")

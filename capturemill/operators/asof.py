@@ -36,3 +36,12 @@ def as_of_small(requests: DataFrame, relation: DataFrame, moment: str, time: str
         cond = cond & (requests[k] == r[f"_k_{k}"])
     best = requests.join(r, cond).groupBy(*request_key).agg(F.max_by("_hit", "_hit._t").alias("_hit"))
     return requests.join(best, request_key, "left").select(*[requests[c] for c in requests.columns], *[F.col(f"_hit._c_{c}").alias(c) for c in columns])
+
+
+# A status history's columns.
+STATUS_COLUMNS = ["valid_from", "valid_to", "status", "chance_of_playing_this_round", "chance_of_playing_next_round", "news", "can_select", "removed", "team_fpl_id", "position_id"]
+
+
+def player_status_as_of(requests: DataFrame, history: DataFrame) -> DataFrame:
+    """The status in force strictly before each request's ``as_of_time``, by season and player; nulls before a player's first capture."""
+    return as_of(requests, history, "as_of_time", "valid_from", ["season", "fpl_id"], STATUS_COLUMNS)

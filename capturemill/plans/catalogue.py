@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturemill.functions.scalars import contains, second_boundaries
-from capturemill.operators import asof, captures, checks, diff, history, spine
+from capturemill.operators import asof, captures, checks, diff, history, origin, spine
+from capturemill.plans import builds
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -447,3 +448,36 @@ def unstaged_gap(spark, sf_dir):
     """Errors of users that neither staged relation has."""
     e = read(spark, sf_dir, "events")
     return checks.unstaged(e.filter("event_type = 'error'"), [e.filter("event_type = 'purchase' and value > 90"), e.filter("event_type = 'view' and value > 95")], "user_id").select("event_id")
+
+
+@query("""WITH a AS (SELECT year(o_orderdate)::INT AS season, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 101 <> 0), b AS (SELECT year(o_orderdate)::INT AS season, o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders)
+    SELECT season, (SELECT count(*) FROM a WHERE a.season = s.season) AS before_rows, (SELECT count(*) FROM b WHERE b.season = s.season) AS after_rows,
+        (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b) x WHERE x.season = s.season) AS only_before, (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a) x WHERE x.season = s.season) AS only_after FROM (SELECT DISTINCT season FROM b) s""")
+def build_diff_by_season(spark, sf_dir):
+    """Rows by year of two builds of the orders, and what one of them alone has."""
+    b = _orders(spark, sf_dir).select("season", "o_orderkey", F.when(F.col("o_orderkey") % 97 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    a = _orders(spark, sf_dir).filter("o_orderkey % 101 <> 0").select("season", "o_orderkey", "o_orderstatus")
+    return builds.season_counts(a, b)
+
+
+@query("""WITH n AS (SELECT r.event_id, count(*) AS n, min(a.event_id) AS action_id FROM events r JOIN events a ON a.user_id = r.user_id AND a.event_type = 'view' WHERE r.event_type = 'error' AND r.event_id % 10 <> 0 AND epoch_us(r.ts) - epoch_us(a.ts) BETWEEN 0 AND 360000000000 GROUP BY 1 HAVING count(*) = 1)
+    SELECT e.event_id AS run_id, CASE WHEN e.event_id % 10 = 0 THEN 'history_port' WHEN n.action_id IS NULL THEN 'local' ELSE 'ci' END AS origin_kind, n.action_id FROM events e LEFT JOIN n ON n.event_id = e.event_id WHERE e.event_type = 'error'""")
+def derive_run_origin(spark, sf_dir):
+    """Errors with the one view of their user in the 100 hours before, were errors runs and views workflows that name them."""
+    e = read(spark, sf_dir, "events")
+    runs = e.filter("event_type = 'error'").select(F.col("event_id").alias("run_id"), F.col("ts").alias("started_at"), (F.col("event_id") % 10 == 0).alias("ported"), "user_id")
+    actions = e.filter("event_type = 'view'").select(F.col("event_id").alias("action_id"), F.col("ts").alias("action_at"), "user_id")
+    logs = runs.select("run_id", "user_id").join(actions.select("action_id", "user_id"), "user_id").select("action_id", "run_id")
+    return origin.derive_origin(runs.drop("user_id"), actions.drop("user_id"), logs, 6000 * 60)
+
+
+@query("SELECT s_nationkey AS nation FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_custkey % 9 = 0")
+def except_distinct(spark, sf_dir):
+    """Nations of suppliers that some customers don't have."""
+    return read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")).subtract(read(spark, sf_dir, "customer").filter("c_custkey % 9 = 0").select("c_nationkey"))
+
+
+@query("SELECT 'orders' AS table_name, year(o_orderdate)::VARCHAR AS season, count(*) AS n_rows FROM orders GROUP BY 2 UNION ALL SELECT 'nation', NULL, count(*) FROM nation")
+def build_shape(spark, sf_dir):
+    """Rows of relations by season."""
+    return builds.build_shape({"orders": _orders(spark, sf_dir), "nation": read(spark, sf_dir, "nation")})

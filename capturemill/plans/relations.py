@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capturemill.plans import served, staging
+from capturemill.plans import expectations, served, staging
 from capturemill.plans.catalogue import ORACLE_SQL, QUERIES, read
-from capturemill.operators import checks
+from capturemill.operators import checks, presence
 
 WORLD = {
     "base": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) AS y, month(o_orderdate) AS m, concat('r', cast(year(o_orderdate) * 100 + month(o_orderdate) AS string)) AS run_id FROM {orders}",
@@ -343,3 +343,37 @@ def int_endpoint_freshness(s):
     live = s.admitted.filter(~F.col("scope").eqNullSafe("history")).select(F.split_part("endpoint", F.lit("/"), F.lit(1)).alias("endpoint"), F.col("observed_at").alias("received_at"))
     ends = s.admitted.sparkSession.createDataFrame([(e, e == "element-summary") for e in ("bootstrap-static", "fixtures", "event-status", "element-summary", "gone")], "endpoint string, exempt boolean")
     return checks.freshness(ends, live, F.lit("2001-08-01 00:00:00").cast("timestamp_ntz")).select("endpoint", "newest", "age_hours", "status")
+
+
+_LAST = "(SELECT split_part(endpoint, '/', 1) AS e, arg_max(run_id, struct_pack(o := observed_at, r := run_id)) AS run_id FROM ok WHERE starts_with(capture_key, 'raw/') GROUP BY 1)"
+# Each source with its endpoint and the keys to look for. The last key of two sources isn't there.
+PRESENCE = {
+    "bootstrap_static": ("bootstrap-static", {"total_players": {}, "elements.id": {"record_path": "$.elements[*]"}, "elements.gone": {"record_path": "$.elements[*]"}, "elements.old": {"record_path": "$.elements[*]", "presence_exempt": "left by design"}}),
+    "entry_picks": ("entry-picks", {"picks.position": {"record_path": "$.picks[*]"}, "entry_history.points": {"record_path": "$.entry_history"}, "entry_history.gone": {"record_path": "$.entry_history"}}),
+}
+
+
+@relation("int_source_key_presence", _sql(f"""SELECT source_name, column_name, run_id, captures, records, CASE WHEN ends_with(column_name, 'gone') THEN records ELSE 0 END::BIGINT AS missing FROM (SELECT t.s AS source_name, t.c AS column_name, l.run_id, x.captures, CASE t.k WHEN 'one' THEN x.captures WHEN 'elements' THEN (SELECT count(*) FROM elements WHERE elements.run_id = l.run_id) ELSE (SELECT count(*) FROM base WHERE base.run_id = l.run_id) END::BIGINT AS records
+    FROM (VALUES ('bootstrap_static', 'bootstrap-static', 'total_players', 'one'), ('bootstrap_static', 'bootstrap-static', 'elements.id', 'elements'), ('bootstrap_static', 'bootstrap-static', 'elements.gone', 'elements'), ('entry_picks', 'entry-picks', 'picks.position', 'base'), ('entry_picks', 'entry-picks', 'entry_history.points', 'one'), ('entry_picks', 'entry-picks', 'entry_history.gone', 'one')) t(s, e, c, k)
+    JOIN {_LAST} l ON l.e = t.e JOIN (SELECT run_id, split_part(endpoint, '/', 1) AS e, count(*) AS captures FROM ok GROUP BY 1, 2) x ON x.run_id = l.run_id AND x.e = t.e)"""))
+def int_source_key_presence(s):
+    """Records of each source's newest live run with and without the keys that staging reads."""
+    out = None
+    for source, (endpoint, columns) in PRESENCE.items():
+        objects = s.payloads[source].withColumnRenamed("body", "json")
+        got = presence.source_key_presence(source, presence.consumed_key_specs(columns), presence.latest_live_run(s.admitted, endpoint, objects), objects)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@relation("publish_expected_rows", _sql("""SELECT t.n AS table_name, season, (CASE WHEN t.n IN ('fct_player_fixture', 'fct_player_gameweek') THEN coalesce(p, 0) * coalesce(w, 0) WHEN t.n = 'dim_team' THEN 20 WHEN t.n = 'dim_fixture' THEN 380 WHEN t.n = 'fct_player_market_snapshot' THEN coalesce(c, 0) WHEN t.n = 'dim_fixture_schedule_history' THEN coalesce(f, 0) WHEN t.n = 'fct_manager_gameweek' THEN coalesce(mg, 0) WHEN t.n = 'fct_manager_pick' THEN 15 * coalesce(mg, 0) ELSE coalesce(p, 0) END)::BIGINT AS expected
+    FROM (SELECT season FROM player UNION SELECT season FROM team UNION SELECT season FROM position UNION SELECT season FROM gameweek UNION SELECT season FROM fixture UNION SELECT season FROM gameweek_status UNION SELECT season FROM player_fixture) q LEFT JOIN pl USING (season) LEFT JOIN gw USING (season) LEFT JOIN fx USING (season) LEFT JOIN mn USING (season)
+    CROSS JOIN (VALUES ('fct_player_fixture'), ('fct_player_gameweek'), ('dim_team'), ('dim_player'), ('dim_fixture'), ('dim_player_status_history'), ('fct_player_market_snapshot'), ('dim_fixture_schedule_history'), ('fct_manager_gameweek'), ('fct_manager_pick')) t(n)
+    UNION ALL SELECT 'dim_gameweek', season, 38 FROM (SELECT DISTINCT season FROM ok WHERE endpoint = 'bootstrap-static')""",
+    _with("player", "team", "position", "gameweek", "fixture", "gameweek_status", "player_fixture", "picks_capture", "settled", "panel") + """, pl AS (SELECT season, count(DISTINCT fpl_id) AS p, count(*) AS c FROM player GROUP BY 1),
+    gw AS (SELECT g.season, count(*) FILTER (WHERE g.season <> '1998' OR g.finished) AS w FROM gameweek g JOIN (SELECT season, arg_max(run_id, struct_pack(o := observed_at, r := run_id)) AS r FROM gameweek GROUP BY 1) l ON l.season = g.season AND l.r = g.run_id GROUP BY 1),
+    fx AS (SELECT season, count(DISTINCT fixture_id) AS f FROM fixture GROUP BY 1), jw AS (SELECT season, entry_id, min(gameweek) AS fw FROM picks_capture JOIN settled USING (season, gameweek) GROUP BY ALL),
+    mn AS (SELECT s.season, count(*) AS mg FROM settled s JOIN panel USING (season) JOIN jw USING (season, entry_id) WHERE jw.fw <= s.gameweek GROUP BY 1)"""))
+def publish_expected_rows(s):
+    """Rows that each served table should have by season, with one season live."""
+    return expectations.expected_rows(s, "1998")

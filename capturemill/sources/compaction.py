@@ -53,7 +53,12 @@ def compact_day(spark: SparkSession, day: str, files: list[str], fields: dict, d
     Files, the part's rows against those of the files, its distinct paths and (with ``index``: key to sha256) keys and digests must agree.
     A part that doesn't reconcile never takes the place of one that did.
     """
-    new_part, part = Path(dest, f".new-{day}"), Path(dest, day)
+    got = _write_part(spark, day, Path(dest, day), files, fields, index, strip)
+    return _write_manifest(Path(dest, "_manifest", f"{day}.json"), {"capture_day": day, **got})
+
+
+def _write_part(spark: SparkSession, day: str, part: Path, files: list[str], fields: dict, index: dict[str, str] | None, strip: str) -> dict:
+    new_part = part.with_name(f".new-{part.name}")
     raw_rows = read_captures(spark, files, fields)
     raw_rows.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(str(new_part))
     try:
@@ -73,12 +78,15 @@ def compact_day(spark: SparkSession, day: str, files: list[str], fields: dict, d
     if part.exists():
         shutil.rmtree(part)
     new_part.rename(part)
-    manifest = {"capture_day": day, "payload_files": len(files), "parquet_rows": got.n, "distinct_filenames": got.p}
-    folder = Path(dest, "_manifest")
-    folder.mkdir(parents=True, exist_ok=True)
-    new = folder / f".{day}.json"
+    return {"payload_files": len(files), "parquet_rows": got.n, "distinct_filenames": got.p}
+
+
+def _write_manifest(path: Path, manifest: dict) -> dict:
+    manifest["compacted_at"] = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    path.parent.mkdir(parents=True, exist_ok=True)
+    new = path.with_name(f".{path.name}")
     new.write_text(json.dumps(manifest))
-    new.rename(folder / f"{day}.json")
+    new.replace(path)
     return manifest
 
 
@@ -122,3 +130,92 @@ def compacted_read(spark: SparkSession, root: str, dest: str, fields: dict) -> D
     if not parts:
         raise CompactionError("there is nothing to read")
     return reduce(DataFrame.unionByName, parts)
+
+
+# --- units of a season and a period, sealed once the period is settled ------------------------------------
+
+
+def periods_of(root: str) -> dict[tuple[str, str], list[str]]:
+    """Payload files by season and period: ``<season>/<period>/<entry>/<day>/<run>/payload.json`` below ``root``."""
+    out: dict[tuple[str, str], list[str]] = {}
+    for p in sorted(Path(root).glob("*/*/*/*/*/payload.json")):
+        out.setdefault((p.parts[-6], p.parts[-5]), []).append(str(p))
+    return out
+
+
+def period_manifests(dest: str) -> dict[tuple[str, str], dict]:
+    """Manifests by season and period. An unreadable one, one of another unit than its name says, or one whose part is missing fails."""
+    out = {}
+    for p in sorted(Path(dest, "_manifest").glob("season=*/gameweek=*.json")):
+        unit = (p.parent.name.removeprefix("season="), p.stem.removeprefix("gameweek="))
+        try:
+            m = json.loads(p.read_text())
+        except ValueError as e:
+            raise CompactionError(f"unreadable manifest {p}") from e
+        if (m.get("season"), str(m.get("gameweek"))) != unit:
+            raise CompactionError(f"{p} is of {m.get('season')} {m.get('gameweek')}")
+        if not _period_part(dest, *unit).is_dir():
+            raise CompactionError(f"the part of {unit} is missing")
+        out[unit] = m
+    return out
+
+
+def _period_part(dest: str, season: str, period: str) -> Path:
+    return Path(dest, f"season={season}", f"gameweek={period}")
+
+
+def marker_season(captures: list[dict] | None, period: str, endpoint: str = "entry-picks") -> str:
+    """The one season that a settlement marker's run has for its period, by the run's finalised captures (endpoint, season)."""
+    if captures is None:
+        raise CompactionError("the marker's run has no finalised index")
+    seasons = {c["season"] for c in captures if (p := c["endpoint"].split("/"))[0] == endpoint and len(p) > 2 and p[2] == period}
+    if len(seasons) != 1:
+        raise CompactionError(f"the marker's run has seasons {sorted(map(str, seasons))} for {period}")
+    return seasons.pop()
+
+
+def compact_period(spark: SparkSession, season: str, period: str, files: list[str], fields: dict, dest: str, captures: dict[str, list[dict]], prefix: str = "raw/fpl/entry-picks", root: str = "") -> dict:
+    """Write a settled period's payloads as one part. Each run must have a finalised index (``captures``: run to key and content_sha256), whose keys and digests are the files'."""
+    if not files:
+        raise CompactionError("no payload files")
+    runs = sorted({Path(f).parts[-2] for f in files})
+    if lost := [r for r in runs if captures.get(r) is None]:
+        raise CompactionError(f"runs {lost} have no finalised index")
+    below = f"{prefix}/{season}/{period}/"
+    index = {c["key"].removeprefix(prefix + "/"): c["content_sha256"] for r in runs for c in captures[r] if c["key"].startswith(below)}
+    got = _write_part(spark, f"{season} {period}", _period_part(dest, season, period), files, fields, index, root.rstrip("/") + "/" if root else "")
+    if got["parquet_rows"] != len(files):
+        raise CompactionError(f"{season} {period}: {len(files)} files, {got['parquet_rows']} rows")
+    return _write_manifest(Path(dest, "_manifest", f"season={season}", f"gameweek={period}.json"), {"season": season, "gameweek": int(period), **got, "run_ids": runs})
+
+
+def compact_settled(spark: SparkSession, root: str, dest: str, fields: dict, markers: list[dict], captures: dict[str, list[dict]]) -> tuple[list[tuple[str, str]], dict[str, str]]:
+    """Compact every marked period (``event, run_id``) without a manifest; what is sealed is never written again, and a failing one is left with its reason."""
+    done, sealed, failed, files = [], period_manifests(dest), {}, periods_of(root)
+    for m in markers:
+        period = str(m["event"])
+        try:
+            unit = (marker_season(captures.get(m["run_id"]), period), period)
+            if unit in sealed or unit in done:
+                continue
+            compact_period(spark, *unit, files.get(unit, []), fields, dest, captures, root=root)
+            done.append(unit)
+        except (CompactionError, PySparkException, OSError) as e:
+            failed[period] = str(e)
+    return done, failed
+
+
+def period_read(spark: SparkSession, root: str, dest: str, fields: dict) -> DataFrame:
+    """Sealed periods from their parts, all others from raw files, each coerced to the declared shape."""
+    done = period_manifests(dest)
+    by_schema: dict[str, list[str]] = {}
+    for unit in sorted(done):
+        part = str(_period_part(dest, *unit))
+        by_schema.setdefault(spark.read.parquet(part).schema.json(), []).append(part)
+    parts = [declared_typed(spark.read.parquet(*of), fields, ["path"]) for of in by_schema.values()]
+    tail = [f for unit, fs in sorted(periods_of(root).items()) if unit not in done for f in fs]
+    if tail:
+        parts.append(declared_typed(read_captures(spark, tail, fields), fields, ["path"]))
+    if not parts:
+        raise CompactionError("there is nothing to read")
+    return reduce(DataFrame.unionByName, parts)
