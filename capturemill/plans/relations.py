@@ -7,6 +7,9 @@ run; customers are players and managers, nations teams, regions positions, suppl
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -324,6 +327,59 @@ def int_player_gameweek_spine(s):
     return served.player_gameweek_spine(served.player_season(s.player), s.gameweek)
 
 
+_STATUS_NOW = "(SELECT season, gameweek, coalesce(bool_or(a), false) AS is_ratified FROM (SELECT season, gameweek, run_id, bool_and(points = 'r' AND bonus_added) AS a FROM gameweek_status GROUP BY ALL) GROUP BY ALL)"
+
+
+def _measures() -> str:
+    """SQL of the sums of a period and of the values of its last fixture that has one."""
+    sums = [f"sum({c})::INTEGER AS {c}" for c in served.INTS] + [f"sum({c}::DECIMAL(18, 4))::DOUBLE AS {c}" for c in served.EXPECTED] + [f"round(sum({c}::DECIMAL(18, 4)), 1)::DOUBLE AS {c}" for c in served.INDICES]
+    return ", ".join([*sums, *[f"arg_max({c}, struct_pack(k := kickoff_time, f := fixture_id)) FILTER ({c} IS NOT NULL AND kickoff_time IS NOT NULL) AS {c}" for c in served.MARKET]])
+
+
+_WEEKS = f"""{_BEST}, facts AS (SELECT b.*, coalesce(s.is_ratified, false) AS is_ratified FROM best b LEFT JOIN {_STATUS_NOW} s USING (season, gameweek)),
+    summed AS (SELECT season, fpl_id, gameweek, count(fixture_id)::INTEGER AS fixture_count, min(kickoff_time) AS first_kickoff_time, max(kickoff_time) AS last_kickoff_time, bool_and(is_ratified) AS is_ratified, {_measures()} FROM facts GROUP BY season, fpl_id, gameweek),
+    spine AS (SELECT DISTINCT p.season, p.fpl_id, p.web_name, g.gameweek FROM (SELECT * FROM player QUALIFY row_number() OVER (PARTITION BY season, fpl_id {_NEW}) = 1) p JOIN (SELECT g.season, g.gameweek FROM gameweek g JOIN {_TOP.format('gameweek')} n ON n.season = g.season AND n.c = struct_pack(o := g.observed_at, r := g.run_id) WHERE g.finished) g USING (season)),
+    moments AS (SELECT * FROM (SELECT season, gameweek, deadline_time FROM gameweek QUALIFY row_number() OVER (PARTITION BY season, gameweek {_NEW}) = 1) d WHERE (SELECT max(observed_at) FROM gameweek c WHERE c.season = d.season) >= d.deadline_time AND (SELECT min(observed_at) FROM gameweek c WHERE c.season = d.season) < d.deadline_time),
+    teams_then AS ({_history_sql("player", "fpl_id", served.STATUS, [])}), schedule AS ({_history_sql("fixture", "fixture_id", served.SCHEDULE, [])}),
+    planned AS (SELECT m.season, m.gameweek, unnest([x.team_h_fpl_id, x.team_a_fpl_id]) AS team FROM moments m JOIN schedule x ON x.season = m.season AND x.gameweek = m.gameweek AND x.valid_from < m.deadline_time AND (x.valid_to IS NULL OR x.valid_to >= m.deadline_time)),
+    asked AS (SELECT s.season, s.fpl_id, s.gameweek, t.team_fpl_id FROM spine s JOIN moments m USING (season, gameweek) JOIN (SELECT season, min(valid_from) AS first FROM schedule GROUP BY 1) z ON z.season = s.season AND z.first < m.deadline_time LEFT JOIN teams_then t ON t.season = s.season AND t.fpl_id = s.fpl_id AND t.valid_from < m.deadline_time AND (t.valid_to IS NULL OR t.valid_to >= m.deadline_time)),
+    weeks AS (SELECT s.season, s.fpl_id, s.gameweek, s.web_name, coalesce(f.fixture_count, 0) AS fixture_count, f.* EXCLUDE (season, fpl_id, gameweek, fixture_count), CASE WHEN a.team_fpl_id IS NOT NULL THEN (SELECT count(*) FROM planned n WHERE n.season = a.season AND n.gameweek = a.gameweek AND n.team = a.team_fpl_id)::INTEGER END AS fixture_count_at_deadline
+        FROM spine s LEFT JOIN summed f ON f.season = s.season AND f.fpl_id = s.fpl_id AND f.gameweek = s.gameweek LEFT JOIN asked a ON a.season = s.season AND a.fpl_id = s.fpl_id AND a.gameweek = s.gameweek)"""
+
+
+def _held(df: DataFrame) -> DataFrame:
+    """A relation that several others read, as a table in the shared folder: it is built once, and plans over it stay small."""
+    spark = df.sparkSession
+    got = spark.sparkContext._jsc.sc().getCheckpointDir()
+    shared = got.get() if got.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="build")
+    path = f"{shared}/relation-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _player_gameweek(s):
+    player, gameweek, fixture, status = _held(s.player), _held(s.gameweek), _held(s.fixture), _held(served.gameweek_status(s.gameweek_status))
+    facts = served.fct_player_fixture(s.player_fixture, status, served.dim_fixture(fixture), served.Settled())
+    history, schedule, weeks = _held(served.player_status_history(player)), _held(served.fixture_schedule_history(fixture)), _held(served.dim_gameweek(gameweek, status, served.Settled()))
+    return served.fct_player_gameweek(served.player_gameweek_spine(served.player_season(player), gameweek), _held(facts), weeks, history, schedule)
+
+
+@relation("fct_player_gameweek", _sql("SELECT * FROM weeks", _with("player", "gameweek", "gameweek_status", "fixture", "player_fixture") + ", " + _WEEKS))
+def fct_player_gameweek(s):
+    """Players by finished period, with the fixtures that their team had at the deadline."""
+    return _player_gameweek(s)
+
+
+@relation("int_manager_gameweek_points", _sql("SELECT g.season, g.entry_id, g.gameweek, c.active_chip, c.points AS fpl_points, sum(p.multiplier * coalesce(w.total_points, 0))::BIGINT AS rebuilt_points FROM grid g JOIN picks_capture c USING (capture_key) JOIN picks p USING (capture_key) LEFT JOIN weeks w ON w.season = g.season AND w.gameweek = g.gameweek AND w.fpl_id = p.fpl_id WHERE g.status = 'captured' GROUP BY ALL", _MANAGERS + ", " + _with("player", "gameweek", "gameweek_status", "fixture", "player_fixture") + ", " + _WEEKS))
+def int_manager_gameweek_points(s):
+    """The publisher's points of managers beside those rebuilt from their picks."""
+    return served.manager_gameweek_points(_manager_grid(s), s.entry_picks_capture, s.entry_picks, _player_gameweek(s))
+
+
 @relation("int_player_fixture_history_mismatch", _sql("SELECT NULL::VARCHAR AS season, NULL::VARCHAR AS run_id, NULL::VARCHAR AS capture_key, NULL::TIMESTAMP AS observed_at, 0 AS expected_rows, 0::BIGINT AS staged_rows WHERE false"))
 def int_player_fixture_history_mismatch(s):
     """Captures whose array isn't as long as their staged rows are many: none."""
