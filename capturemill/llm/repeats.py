@@ -39,7 +39,7 @@ GRAM = 48
 #: A seed with more runs than this has its windows counted before their bytes move.
 HOT = 20_000
 #: Bytes that are transformed at once.
-BLOCK = 1_000_000
+BLOCK = 500_000
 _PIECE = 1 << 18
 _WIDE = 64
 
@@ -94,16 +94,16 @@ def bounded_suffixes(codes: np.ndarray, depth: int) -> np.ndarray:
     for j in range(h):
         key <<= bits
         key[: n - j] |= codes[j:]
-    suffixes = np.argsort(key)
+    suffixes = np.argsort(key).astype(np.int32)
     key = key[suffixes]
     head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    rank = np.empty(n, dtype=np.int64)
+    rank = np.empty(n, dtype=np.int32)
     size = np.diff(np.append(head, n))
     rank[suffixes] = np.repeat(head, size)
     tied = np.flatnonzero(np.repeat(size > 1, size))
     while len(tied) and h < depth:
         sub = suffixes[tied]
-        key = rank[sub] * n + rank[sub + h]
+        key = rank[sub].astype(np.int64) * n + rank[sub + h]
         order = np.argsort(key)
         sub, key = sub[order], key[order]
         suffixes[tied] = sub
@@ -121,26 +121,29 @@ def long_neighbours(codes: np.ndarray, suffixes: np.ndarray, length: int) -> np.
     bwt = codes[suffixes - 1]
     order = np.argsort(bwt, kind="stable")
     where = bwt[order].astype(np.int64) * n + order
-    back = np.empty(n, dtype=np.int64)
-    back[order] = np.arange(n)
+    back = np.empty(n, dtype=np.int32)
+    back[order] = np.arange(n, dtype=np.int32)
+    same = np.cumsum(np.concatenate(([False], bwt[1:] != bwt[:-1])), dtype=np.int32)
     symbols = np.unique(codes).astype(np.int64) * n
     open_ = np.ones(n + 1, dtype=bool)
     open_[[0, n]] = False
-    low, high = np.zeros(1, dtype=np.int64), np.full(1, n, dtype=np.int64)
+    low, high = np.zeros(1, dtype=np.int32), np.full(1, n, dtype=np.int32)
     for _ in range(length):
-        size = high - low
-        one, wide = size == 1, size > _WIDE
-        few = ~(one | wide)
-        lows, highs = [back[low[one]]], [back[low[one]] + 1]
+        # An interval with one symbol before it has one extension, whose ends are those of the interval; most are of this kind.
+        last = high - 1
+        one = same[low] == same[last]
+        lows, highs = [back[low[one]]], [back[last[one]] + 1]
+        low, high = low[~one], high[~one]
+        wide = high - low > _WIDE
         if wide.any():
             a = np.searchsorted(where, (symbols[None, :] + low[wide, None]).ravel())
             b = np.searchsorted(where, (symbols[None, :] + high[wide, None]).ravel())
-            lows.append(a[b > a])
-            highs.append(b[b > a])
-        if few.any():
-            size, first = size[few], low[few]
-            owner = np.repeat(np.arange(len(size)), size)
-            at = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + first[owner]
+            lows.append(a[b > a].astype(np.int32))
+            highs.append(b[b > a].astype(np.int32))
+        first, size = low[~wide], (high - low)[~wide]
+        if len(size):
+            owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+            at = np.arange(len(owner), dtype=np.int32) + np.repeat(first - (np.cumsum(size, dtype=np.int32) - size), size)
             to = back[at]
             by = np.argsort(to)
             to, owner, symbol = to[by], owner[by], bwt[at[by]]
@@ -157,22 +160,24 @@ def long_neighbours(codes: np.ndarray, suffixes: np.ndarray, length: int) -> np.
 
 
 def repeated_starts(runs: list[tuple[bytes, int]], length: int) -> list[np.ndarray]:
-    """For each run (its bytes, how often it occurs), which of its windows start at two places or more among all runs."""
-    parts = [np.zeros(1, np.uint16)]  # the end, then each run after a separator
-    begins, at = [], 1
-    for data, times in runs:
-        b = np.frombuffer(data, np.uint8).astype(np.uint16) + 2
-        begins.append(at)
-        for _ in range(min(2, times)):
-            parts += [b, np.ones(1, np.uint16)]
-            at += len(b) + 1
-    codes = np.concatenate([*parts[1:], parts[0]])
-    codes = np.unique(codes, return_inverse=True)[1].astype(np.uint16)
+    """For each run (its bytes, how often it occurs), which of its windows start at two places or more among all runs.
+
+    An equal run is in the transform once, so each of its places in the order counts as often as the run occurs.
+    """
+    sizes = np.array([len(data) + 1 for data, _ in runs])
+    ends = np.cumsum(sizes)
+    codes = np.zeros(ends[-1] + 1, dtype=np.uint16)
+    codes[:-1] = np.frombuffer(b"\0".join([*(data for data, _ in runs), b""]), np.uint8)
+    codes[:-1] += 2
+    codes[ends - 1] = 1  # a separator after each run, and the end after all
+    used = np.zeros(258, dtype=np.uint16)
+    used[np.unique(codes)] = 1
+    codes = (np.cumsum(used, dtype=np.uint16) - used)[codes]
     suffixes = bounded_suffixes(codes, length)
     shared = long_neighbours(codes, suffixes, length)
-    twice = np.zeros(len(codes), dtype=bool)
-    twice[suffixes] = shared | np.append(shared[1:], False)
-    return [twice[x - 1 : x - 1 + len(data) - length + 1] for x, (data, _) in zip(begins, runs, strict=True)]
+    twice = np.repeat([times > 1 for _, times in runs] + [False], np.append(sizes, 1))
+    twice[suffixes] |= shared | np.append(shared[1:], False)
+    return [twice[end - size : end - length] for end, size in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
 def edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
