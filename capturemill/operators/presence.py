@@ -60,6 +60,14 @@ def source_key_presence(source: str, specs: list[tuple[str, str, str | None]], c
     return out.crossJoin(F.broadcast(run)).select(F.lit(source).alias("source_name"), "column_name", "run_id", "captures", "records", "missing")  # one row of the run
 
 
+def source_presence(source: str, specs: list[tuple[str, str, str | None]], admitted: DataFrame, endpoint: str, objects: DataFrame) -> DataFrame:
+    """Presence in a source's newest live captures that have a payload, with ``latest_run_id, latest_run_missing_bytes``: the newest live run of all and its captures without one, else null and 0."""
+    present = objects.select("capture_key").distinct()
+    got = source_key_presence(source, specs, latest_live_run(admitted, endpoint, present), objects)
+    gap = latest_live_run_missing(admitted, endpoint, present).agg(F.max("run_id").alias("latest_run_id"), F.coalesce(F.max("captures_without_bytes"), F.lit(0)).cast("long").alias("latest_run_missing_bytes"))
+    return got.crossJoin(F.broadcast(gap))  # one row of the gap
+
+
 def source_findings(presence: DataFrame, mode: str) -> DataFrame:
     """Findings of presence rows that also have ``latest_run_id, latest_run_missing_bytes``.
 

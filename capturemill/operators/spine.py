@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .asof import as_of
+from .timeline import LEAST, SHARE, Timeline
 
 
 def spine(entities: DataFrame, periods: DataFrame, season: list[str]) -> DataFrame:
@@ -25,21 +26,32 @@ def fill_spine(grid: DataFrame, facts: DataFrame, keys: list[str], fact_key: str
     return j.select(*grid.columns, F.coalesce("n_facts", F.lit(0)).alias("n_facts"), *additive, *last, *(flags or {}))
 
 
-def count_at_moment(requests: DataFrame, groups: DataFrame, schedule: DataFrame, season: str, moment: str, entity: str, group: str, item: str, period: str, sides: list[str]) -> DataFrame:
+def count_at_moment(requests: DataFrame, groups: DataFrame, schedule: DataFrame, season: str, moment: str, entity: str, group: str, period: str, sides: list[str], share: int = SHARE, least: int = LEAST) -> DataFrame:
     """How many scheduled items an entity's group had in the requested period, as known at the moment.
 
-    ``requests``: season, entity, period, moment. ``groups``: season, entity, group, valid_from. ``schedule``: season, item, period,
-    sides, valid_from. Null where the entity's group wasn't known; 0 where the schedule was known but had no item for it.
+    ``requests``: season, entity, period, moment. ``groups``: season, entity, group, valid_from, valid_to. ``schedule``: season, period, sides,
+    valid_from, valid_to of each item's history. An opening adds one to each of its sides in its period, a closing takes it away, and one ordered
+    pass by season, period and group sums them up to each request: linear in the history and the requests, which never meet item by item.
+    Null where the entity's group wasn't known; 0 where the schedule was known but had no item for it; requests from before a
+    season's first schedule are left out.
     """
     started = schedule.groupBy(season).agg(F.min("valid_from").alias("_first"))
     r = requests.join(started, season).filter(F.col("_first") < F.col(moment)).drop("_first")
-    moments = r.select(season, period, moment).distinct()
-    mine = as_of(r, groups, moment, "valid_from", [season, entity], [group])
-    items = schedule.select(season, item).distinct()
-    grid = moments.withColumnRenamed(period, "_wanted").join(items, season)
-    known = as_of(grid, schedule, moment, "valid_from", [season, item], [period, *sides]).filter(F.col(period) == F.col("_wanted"))
-    n = known.select(season, period, moment, F.explode(F.array(*sides)).alias(group)).groupBy(season, period, moment, group).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    return mine.join(n, [season, period, moment, group], "left").withColumn("n_at_moment", F.when(F.col(group).isNotNull(), F.coalesce("_n", F.lit(0)))).drop("_n")
+    lasting = groups.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+    mine = as_of(r, lasting, moment, "valid_from", [season, entity], [group], share=share, least=least)
+    turns = F.array(F.struct(F.col("valid_from").alias("_at"), F.lit(1).alias("_by")), F.struct(F.col("valid_to").alias("_at"), F.lit(-1).alias("_by")))
+    changes = schedule.select(season, period, F.explode(F.array(*sides)).alias(group), "valid_from", "valid_to").dropna(subset=[season, period, group])
+    changes = changes.select(season, period, group, F.inline(turns)).dropna(subset="_at").withColumn("_side", F.lit(1))
+    asked = mine.select(season, period, group, F.col(moment).alias("_at"), F.lit(0).alias("_side"), F.struct(*mine.columns).alias("_row"))
+    line = Timeline(asked.unionByName(changes, allowMissingColumns=True), [season, period, group], "_at", share, least)
+    spread = F.when(F.col(group).isNull(), F.xxhash64("_row"))
+    w = Window.partitionBy(*line.by, spread).orderBy(F.asc_nulls_first("_at"), "_side").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.coalesce(F.sum("_by").over(w), F.lit(0))
+    if line.cut:
+        found = line.carried(line.rows, F.sum("_by"), F.sum).withColumn("_n", n + F.coalesce("_carried", F.lit(0)))
+    else:
+        found = line.rows.withColumn("_n", n)
+    return found.filter("_side = 0").select("_row.*", F.when(F.col(group).isNotNull(), F.col("_n")).cast("int").alias("n_at_moment"))
 
 
 def grid_status(panel: DataFrame, periods: DataFrame, captured: DataFrame, season: list[str], keys: list[str], period: str, joined: str, capture: str) -> DataFrame:

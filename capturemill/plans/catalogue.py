@@ -152,7 +152,7 @@ def asof_season_only_key(spark, sf_dir):
     """The last purchase of anyone on the day."""
     e = _events(spark, sf_dir)
     r = e.filter("event_type = 'error'").select("event_id", "day", "ts")
-    return asof.as_of(r, _purchases(e), "ts", "ts", ["day"], ["purchase_id"]).select("event_id", "purchase_id")
+    return asof.as_of(r, _purchases(e), "ts", "ts", ["day"], ["purchase_id"], least=0).select("event_id", "purchase_id")
 
 
 @query("""SELECT r.event_id, date_diff('second', p.ts, r.ts)::BIGINT AS age_seconds FROM (SELECT * FROM events WHERE event_type = 'error') r
@@ -211,14 +211,36 @@ def point_in_time_max_by(spark, sf_dir):
     SELECT known.season, known.o_custkey, known.o_orderpriority, n.n::INT AS n_at_moment FROM known JOIN n USING (season, o_orderpriority)""")
 def fixture_count_at_moment(spark, sf_dir):
     """How many customers had a customer's priority at mid-year, as known then."""
-    h = history.scd2(_orders(spark, sf_dir), ["season", "o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderpriority"], ["o_orderkey"])
-    # Two openings at one instant: the later one counts.
-    h = captures.latest(h, ["season", "o_custkey", "valid_from"], [F.desc("o_orderkey")]).withColumn("half", F.lit(1)).withColumn("side", F.col("o_orderpriority"))
-    r = h.select("season", "o_custkey").distinct().withColumn("half", F.lit(1)).withColumn("moment", F.make_timestamp_ntz(F.col("season"), F.lit(7), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
-    out = spine.count_at_moment(r, h, h.withColumnRenamed("o_custkey", "item"), "season", "moment", "o_custkey", "o_orderpriority", "item", "half", ["side"])
+    h = history.scd2(_orders(spark, sf_dir), ["season", "o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderpriority"]).withColumn("half", F.lit(1))
+    r = h.select("season", "o_custkey", "half").distinct().withColumn("moment", F.make_timestamp_ntz(F.col("season"), F.lit(7), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    out = spine.count_at_moment(r, h, h.withColumn("side", F.col("o_orderpriority")), "season", "moment", "o_custkey", "o_orderpriority", "half", ["side"])
     return out.filter("n_at_moment is not null").select("season", "o_custkey", "o_orderpriority", "n_at_moment")
 
 
+_PLAN = """WITH c AS (SELECT year(l_shipdate)::INT AS season, l_suppkey AS item, l_shipdate AS seen, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber END AS period, l_suppkey % 10 AS home,
+        CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_partkey % 10 END AS away, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag FROM lineitem),
+    o AS (SELECT * FROM c WINDOW w AS (PARTITION BY season, item ORDER BY seen, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag) QUALIFY lag(struct_pack(p := period, h := home, a := away)) OVER w IS DISTINCT FROM struct_pack(p := period, h := home, a := away)),
+    h AS (SELECT season, item, seen AS valid_from, lead(seen) OVER (PARTITION BY season, item ORDER BY seen, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag) AS valid_to, period, home, away FROM o),
+    g AS (SELECT season, o_custkey, side, valid_from FROM (SELECT year(o_orderdate)::INT AS season, o_custkey, o_orderkey % 12 AS side, o_orderdate AS valid_from, o_orderkey FROM orders) QUALIFY row_number() OVER (PARTITION BY season, o_custkey, valid_from ORDER BY o_orderkey DESC) = 1),
+    m AS (SELECT season, period, make_timestamp(season, period + 3, 15, 0, 0, 0.0) AS moment FROM (SELECT DISTINCT season FROM h), (SELECT unnest(range(1, 9))::INT AS period)),
+    r AS (SELECT m.*, k.o_custkey FROM m JOIN (SELECT DISTINCT season, o_custkey FROM g) k USING (season) JOIN (SELECT season, min(valid_from) AS first FROM h GROUP BY 1) z ON z.season = m.season AND z.first < m.moment),
+    n AS (SELECT m.season, m.period, x.side, count(*) AS n FROM m JOIN (SELECT season, period, valid_from, valid_to, unnest([home, away]) AS side FROM h) x ON x.season = m.season AND x.period = m.period AND x.valid_from < m.moment AND (x.valid_to IS NULL OR x.valid_to >= m.moment) WHERE x.side IS NOT NULL GROUP BY ALL)
+    SELECT r.season, r.o_custkey, r.period, g.side, CASE WHEN g.side IS NOT NULL THEN coalesce(n.n, 0) END::INT AS n_at_moment FROM r ASOF LEFT JOIN g ON g.season = r.season AND g.o_custkey = r.o_custkey AND g.valid_from < r.moment LEFT JOIN n ON n.season = r.season AND n.period = r.period AND n.side = g.side"""
+
+
+@query(_PLAN)
+def schedule_count_two_sides(spark, sf_dir):
+    """How many items of each period a customer's side had in the middle of it, as then planned; zeros, unknown sides and items without a period or a second side among them."""
+    l = read(spark, sf_dir, "lineitem")
+    c = l.select(F.year("l_shipdate").alias("season"), F.col("l_suppkey").alias("item"), "l_shipdate", F.when(F.col("l_returnflag") != "R", F.col("l_linenumber")).alias("period"), (F.col("l_suppkey") % 10).alias("home"),
+                 F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey") % 10).alias("away"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag")
+    plan = history.scd2(c, ["season", "item"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag"], ["period", "home", "away"])
+    sides = history.scd2(_orders(spark, sf_dir).withColumn("side", F.col("o_orderkey") % 12), ["season", "o_custkey"], ["o_orderdate", "o_orderkey"], ["side"])
+    periods = plan.select("season").distinct().withColumn("period", F.explode(F.sequence(F.lit(1), F.lit(8)))).withColumn("moment", F.make_timestamp_ntz(F.col("season"), F.col("period") + 3, F.lit(15), F.lit(0), F.lit(0), F.lit(0)))
+    r = spine.spine(sides.select("season", "o_custkey"), periods, ["season"])
+    return spine.count_at_moment(r, sides, plan, "season", "moment", "o_custkey", "side", "period", ["home", "away"]).select("season", "o_custkey", "period", "side", "n_at_moment")
+
+
 @query("SELECT user_id, coalesce(bool_or(a), false) AS any_good FROM (SELECT user_id, ts::DATE AS d, bool_and(value > 20) AS a FROM events GROUP BY ALL) GROUP BY ALL")
 def two_level_bool_rollup(spark, sf_dir):
     """Users with a day on which all values are above 20."""

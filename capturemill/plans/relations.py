@@ -7,15 +7,15 @@ run; customers are players and managers, nations teams, regions positions, suppl
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capturemill.plans import expectations, served, staging
+from capturemill.operators import asof, checks, presence
+from capturemill.plans import expectations, graph, served, staging, warehouse
 from capturemill.plans.catalogue import ORACLE_SQL, QUERIES, read
-from capturemill.operators import checks, presence
 
 WORLD = {
     "base": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) AS y, month(o_orderdate) AS m, concat('r', cast(year(o_orderdate) * 100 + month(o_orderdate) AS string)) AS run_id FROM {orders}",
@@ -347,37 +347,21 @@ _WEEKS = f"""{_BEST}, facts AS (SELECT b.*, coalesce(s.is_ratified, false) AS is
         FROM spine s LEFT JOIN summed f ON f.season = s.season AND f.fpl_id = s.fpl_id AND f.gameweek = s.gameweek LEFT JOIN asked a ON a.season = s.season AND a.fpl_id = s.fpl_id AND a.gameweek = s.gameweek)"""
 
 
-def _held(df: DataFrame) -> DataFrame:
-    """A relation that several others read, as a table in the shared folder: it is built once, and plans over it stay small."""
-    spark = df.sparkSession
-    got = spark.sparkContext._jsc.sc().getCheckpointDir()
-    shared = got.get() if got.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="build")
-    path = f"{shared}/relation-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _player_gameweek(s):
-    player, gameweek, fixture, status = _held(s.player), _held(s.gameweek), _held(s.fixture), _held(served.gameweek_status(s.gameweek_status))
-    facts = served.fct_player_fixture(s.player_fixture, status, served.dim_fixture(fixture), served.Settled())
-    history, schedule, weeks = _held(served.player_status_history(player)), _held(served.fixture_schedule_history(fixture)), _held(served.dim_gameweek(gameweek, status, served.Settled()))
-    return served.fct_player_gameweek(served.player_gameweek_spine(served.player_season(player), gameweek), _held(facts), weeks, history, schedule)
+def _built(s: staging.Sources, name: str) -> DataFrame:
+    """A relation by a build of all that it is made of, each once."""
+    return graph.relation_of(s.manifests.sparkSession, warehouse.nodes(s), name)
 
 
 @relation("fct_player_gameweek", _sql("SELECT * FROM weeks", _with("player", "gameweek", "gameweek_status", "fixture", "player_fixture") + ", " + _WEEKS))
 def fct_player_gameweek(s):
     """Players by finished period, with the fixtures that their team had at the deadline."""
-    return _player_gameweek(s)
+    return _built(s, "fct_player_gameweek")
 
 
 @relation("int_manager_gameweek_points", _sql("SELECT g.season, g.entry_id, g.gameweek, c.active_chip, c.points AS fpl_points, sum(p.multiplier * coalesce(w.total_points, 0))::BIGINT AS rebuilt_points FROM grid g JOIN picks_capture c USING (capture_key) JOIN picks p USING (capture_key) LEFT JOIN weeks w ON w.season = g.season AND w.gameweek = g.gameweek AND w.fpl_id = p.fpl_id WHERE g.status = 'captured' GROUP BY ALL", _MANAGERS + ", " + _with("player", "gameweek", "gameweek_status", "fixture", "player_fixture") + ", " + _WEEKS))
 def int_manager_gameweek_points(s):
     """The publisher's points of managers beside those rebuilt from their picks."""
-    return served.manager_gameweek_points(_manager_grid(s), s.entry_picks_capture, s.entry_picks, _player_gameweek(s))
+    return _built(s, "int_manager_gameweek_points")
 
 
 @relation("int_player_fixture_history_mismatch", _sql("SELECT NULL::VARCHAR AS season, NULL::VARCHAR AS run_id, NULL::VARCHAR AS capture_key, NULL::TIMESTAMP AS observed_at, 0 AS expected_rows, 0::BIGINT AS staged_rows WHERE false"))
@@ -433,3 +417,89 @@ def int_source_key_presence(s):
 def publish_expected_rows(s):
     """Rows that each served table should have by season, with one season live."""
     return expectations.expected_rows(s, "1998")
+
+
+# --- whole builds, gaps and settlement ----------------------------------------------------------------
+
+_GAPS = f"""have AS (SELECT *, split_part(endpoint, '/', 1) AS e FROM ok WHERE starts_with(capture_key, 'raw/')),
+    present AS (SELECT * FROM have WHERE (e = 'bootstrap-static' AND NOT contains(capture_key, '/r1998')) OR (e = 'entry-picks' AND split_part(capture_key, '/', 5)::INTEGER % 3 <> 0)),
+    chosen AS (SELECT e, arg_max(run_id, struct_pack(o := observed_at, r := run_id)) AS run_id FROM present GROUP BY 1), newest AS {_LAST},
+    gap AS (SELECT n.e, max(h.run_id) AS latest_run_id, count(h.run_id) AS missing FROM newest n LEFT JOIN (SELECT * FROM have ANTI JOIN present USING (capture_key)) h ON h.e = n.e AND h.run_id = n.run_id GROUP BY 1),
+    gaps AS (SELECT t.s AS source_name, t.c AS column_name, c.run_id, x.captures, CASE t.k WHEN 'one' THEN x.captures WHEN 'elements' THEN (SELECT count(*) FROM elements WHERE elements.run_id = c.run_id) ELSE (SELECT count(*) FROM base WHERE base.run_id = c.run_id AND o_custkey % 3 <> 0) END::BIGINT AS records, g.latest_run_id, g.missing::BIGINT AS latest_run_missing_bytes
+        FROM (VALUES ('bootstrap_static', 'bootstrap-static', 'total_players', 'one'), ('bootstrap_static', 'bootstrap-static', 'elements.id', 'elements'), ('bootstrap_static', 'bootstrap-static', 'elements.gone', 'elements'), ('entry_picks', 'entry-picks', 'picks.position', 'base'), ('entry_picks', 'entry-picks', 'entry_history.points', 'one'), ('entry_picks', 'entry-picks', 'entry_history.gone', 'one')) t(s, e, c, k)
+        JOIN chosen c ON c.e = t.e JOIN (SELECT run_id, e, count(*) AS captures FROM present GROUP BY 1, 2) x ON x.run_id = c.run_id AND x.e = t.e JOIN gap g ON g.e = t.e)"""
+
+
+def _gaps(s: staging.Sources) -> DataFrame:
+    """Presence where payloads are missing: all of a year's bootstraps, and a third of the picks."""
+    lost = {"bootstrap_static": F.contains("capture_key", F.lit("/r1998")), "entry_picks": F.split_part("capture_key", F.lit("/"), F.lit(5)).cast("int") % 3 == 0}
+    nodes = {"admitted": graph.Node(lambda: s.admitted)} | {source: graph.Node(lambda source=source: s.payloads[source].filter(~lost[source]).withColumnRenamed("body", "json"), kept=True) for source in PRESENCE}
+    nodes["gaps"] = graph.Node(lambda admitted, *objects: reduce(DataFrame.unionByName, [
+        presence.source_presence(source, presence.consumed_key_specs(columns), admitted, endpoint, o) for (source, (endpoint, columns)), o in zip(PRESENCE.items(), objects, strict=True)
+    ]), ("admitted", *PRESENCE))
+    return graph.relation_of(s.manifests.sparkSession, nodes, "gaps")
+
+
+@relation("source_presence_gaps", _sql("SELECT source_name, column_name, run_id, captures, records, CASE WHEN ends_with(column_name, 'gone') THEN records ELSE 0 END::BIGINT AS missing, latest_run_id, latest_run_missing_bytes FROM gaps", _GAPS))
+def source_presence_gaps(s):
+    """Key presence in the newest captures that have a payload, beside the newest run's captures without one."""
+    return _gaps(s)
+
+
+@relation("source_presence_findings", _sql(f"""SELECT source_name, column_name, run_id, captures, records, records AS missing, '{presence.REMOVED}' AS finding FROM gaps WHERE ends_with(column_name, 'gone') AND records > 0
+    UNION ALL SELECT DISTINCT source_name, NULL, latest_run_id, 0, 0, latest_run_missing_bytes, '{presence.NO_PAYLOAD}' FROM gaps WHERE latest_run_missing_bytes > 0""", _GAPS))
+def source_presence_findings(s):
+    """What a build would say of the gaps, removed keys and partial ones together."""
+    p = _gaps(s)
+    return presence.source_findings(p, "removed").union(presence.source_findings(p, "partial"))
+
+
+@relation("consumed_key_findings", _sql(f"""SELECT t.c AS column_name, l.run_id, (SELECT count(*) FROM ok WHERE ok.run_id = l.run_id AND endpoint = 'bootstrap-static') AS captures, (SELECT count(*) FROM elements WHERE elements.run_id = l.run_id) AS records, (SELECT count(*) FROM elements WHERE elements.run_id = l.run_id) AS missing, '{presence.REMOVED}' AS finding
+    FROM (VALUES ('elements.gone')) t(c), {_LAST} l WHERE l.e = 'bootstrap-static'"""))
+def consumed_key_findings(s):
+    """Keys that no player of the newest bootstrap has, presence and findings in one."""
+    objects = s.payloads["bootstrap_static"].withColumnRenamed("body", "json")
+    specs = presence.consumed_key_specs(PRESENCE["bootstrap_static"][1])
+    return presence.consumed_key_findings("bootstrap_static", specs, presence.latest_live_run(s.admitted, "bootstrap-static", objects), objects, "removed").drop("source_name")
+
+
+SETTLED = served.Settled(("1995",), "1996", datetime.datetime(1996, 6, 1))
+
+
+@relation("fct_player_fixture_settled", _sql("""SELECT b.season, b.fpl_id, b.fixture_id, CASE WHEN b.season = '1995' THEN true ELSE coalesce(s.is_ratified, b.season = '1996' AND b.kickoff_time < TIMESTAMP '1996-06-01' AND b.team_h_score IS NOT NULL AND b.team_a_score IS NOT NULL) END AS is_ratified
+    FROM best b LEFT JOIN """ + _STATUS_NOW + """ s USING (season, gameweek)""", _with("player_fixture", "gameweek_status", "fixture") + ", " + _BEST))
+def fct_player_fixture_settled(s):
+    """Facts ratified by a closed season, a status capture or, where status captures hadn't begun, a date."""
+    return served.fct_player_fixture(s.player_fixture, served.gameweek_status(s.gameweek_status), served.dim_fixture(s.fixture), SETTLED).select("season", "fpl_id", "fixture_id", "is_ratified")
+
+
+@relation("dim_gameweek_settled", _sql(f"""SELECT d.season, d.gameweek, CASE WHEN s.is_ratified OR (s.season IS NULL AND d.season = '1996' AND d.deadline_time < TIMESTAMP '1996-06-01') THEN d.ranked_count END AS ranked_count
+    FROM (SELECT * FROM gameweek QUALIFY row_number() OVER (PARTITION BY season, gameweek {_NEW}) = 1) d LEFT JOIN (SELECT * FROM {_STATUS_NOW} WHERE gameweek > 3) s USING (season, gameweek)""", _with("gameweek", "gameweek_status")))
+def dim_gameweek_settled(s):
+    """Ranked counts of periods, of those without a status capture by a date; the first three periods of each season have none."""
+    late = served.gameweek_status(s.gameweek_status).filter("gameweek > 3")
+    return served.dim_gameweek(s.gameweek, late, SETTLED).select("season", "gameweek", "ranked_count")
+
+
+@relation("player_history_mismatch_found", _sql("SELECT season, run_id, capture_key, observed_at, count(*)::INTEGER AS expected_rows, count(*) FILTER (fixture_id % 13 <> 0) AS staged_rows FROM player_fixture GROUP BY ALL HAVING count(*) FILTER (fixture_id % 13 = 0) > 0", _with("player_fixture")))
+def player_history_mismatch_found(s):
+    """Captures found out when staging loses some of their facts."""
+    return served.history_mismatch(s.player_history_capture, s.player_fixture.filter("fixture_id % 13 <> 0"))
+
+
+@relation("player_status_as_of", _sql(f"""SELECT a.season, a.fpl_id, a.as_of_time, {', '.join('h.' + c for c in asof.STATUS_COLUMNS)} FROM (SELECT season, fpl_id, kickoff_time + INTERVAL 3 DAY AS as_of_time FROM player_fixture) a
+    LEFT JOIN ({_history_sql("player", "fpl_id", served.STATUS, [])}) h ON h.season = a.season AND h.fpl_id = a.fpl_id AND h.valid_from < a.as_of_time AND (h.valid_to IS NULL OR h.valid_to >= a.as_of_time)""", _with("player", "player_fixture")))
+def player_status_as_of(s):
+    """The status that was in force three days after each fact."""
+    asked = s.player_fixture.select("season", "fpl_id", (F.col("kickoff_time") + F.expr("INTERVAL 3 DAYS")).alias("as_of_time"))
+    return asof.player_status_as_of(asked, served.player_status_history(s.player))
+
+
+# No live capture has facts, and the schedule's JSON leaves null fields out: two warnings.
+_CHECKED = {name: "warned" if name in ("keys_partial:element_summary", "keys_partial:fixtures") else "passed" for name in warehouse.standing_checks()}
+
+
+@relation("warehouse_build", "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS name, 'built' AS status, (SELECT count(*) FROM ({ORACLE_SQL[t]})) AS n_rows" for t in warehouse.SERVED) + ") UNION ALL SELECT name, status, NULL FROM (VALUES " + ", ".join(f"('{n}', '{st}')" for n, st in _CHECKED.items()) + ") c(name, status)")
+def warehouse_build(s):
+    """One build of the whole warehouse with its standing checks: what was built, with its rows, and how the checks went."""
+    return warehouse.report(s)

@@ -129,8 +129,8 @@ def fct_player_gameweek(grid: DataFrame, facts: DataFrame, gameweek: DataFrame,
     )
     moments = gameweek.filter("last_capture_before_deadline_at is not null").select("season", "gameweek", "deadline_time")
     asked = grid.select(*key).join(moments, ["season", "gameweek"])
-    known = count_at_moment(asked.withColumnRenamed("fpl_id", "entity"), status_history.select("season", F.col("fpl_id").alias("entity"), F.col("team_fpl_id").alias("team"), "valid_from"),
-                            schedule.select("season", "fixture_id", "gameweek", "team_h_fpl_id", "team_a_fpl_id", "valid_from"), "season", "deadline_time", "entity", "team", "fixture_id", "gameweek", ["team_h_fpl_id", "team_a_fpl_id"])
+    teams = status_history.select("season", F.col("fpl_id").alias("entity"), F.col("team_fpl_id").alias("team"), "valid_from", "valid_to")
+    known = count_at_moment(asked.withColumnRenamed("fpl_id", "entity"), teams, schedule, "season", "deadline_time", "entity", "team", "gameweek", ["team_h_fpl_id", "team_a_fpl_id"])
     known = known.select("season", F.col("entity").alias("fpl_id"), "gameweek", F.col("n_at_moment").alias("fixture_count_at_deadline"))
     j = grid.join(f, key, "left").join(known, key, "left")
     return j.select(*key, "web_name", F.coalesce("fixture_count", F.lit(0)).alias("fixture_count"), "first_kickoff_time", "last_kickoff_time", "is_ratified", *sums, *MARKET, "fixture_count_at_deadline")

@@ -6,7 +6,7 @@ relation has ``capture_key, body`` (JSON text), whether read from files or at ha
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +29,7 @@ HISTORY_DOUBLES = "expected_goals expected_assists expected_goal_involvements ex
 PICK = "position slot int, element fpl_id int, multiplier multiplier int, is_captain is_captain boolean, is_vice_captain is_vice_captain boolean"
 SUBSTITUTION = "element_out fpl_id_out int, element_in fpl_id_in int"
 ENTRY = "event gameweek int, points points int, event_transfers event_transfers int, event_transfers_cost event_transfers_cost int, overall_rank overall_rank int"
+BOOTSTRAP = {"elements": PLAYER, "events": GAMEWEEK, "teams": TEAM, "element_types": POSITION}
 CAPTURE = ["capture_key", "season", "extraction_date", "run_id", "extracted_at", "observed_at"]
 
 
@@ -39,6 +40,23 @@ def _spec(text: str) -> list[tuple[str, str, str]]:
 HISTORY = [*_spec(HISTORY_KEYS), *[(c, c, "int") for c in HISTORY_INTS], *[(c, c, "double") for c in HISTORY_DOUBLES], ("modified", "modified", "boolean")]
 
 
+def consumed() -> dict[str, tuple[str, dict[str, dict]]]:
+    """Each payload's endpoint, and the declared columns with the place of their records, by the names that staging reads."""
+
+    def at(text_or_spec, path, prefix=""):
+        spec = _spec(text_or_spec) if isinstance(text_or_spec, str) else text_or_spec
+        return {prefix + field: {"record_path": path} for field, _, _ in spec}
+
+    boot = {"total_players": {}}
+    for array, text in BOOTSTRAP.items():
+        boot |= at(text, f"$.{array}[*]", f"{array}.")
+    picks = {"active_chip": {}} | at(ENTRY, "$.entry_history", "entry_history.") | at(PICK, "$.picks[*]", "picks.") | at(SUBSTITUTION, "$.automatic_subs[*]", "automatic_subs.")
+    return {
+        "bootstrap_static": ("bootstrap-static", boot), "fixtures": ("fixtures", at(FIXTURE, "$[*]")), "event_status": ("event-status", at(STATUS, "$.status[*]", "status.")),
+        "element_summary": ("element-summary", at(HISTORY, "$.history[*]", "history.")), "entry_picks": ("entry-picks", picks),
+    }
+
+
 def _leaves(spec: list[tuple[str, str, str]]) -> dict:
     return {field: None for field, _, _ in spec}
 
@@ -104,34 +122,43 @@ class Sources:
     def _staged(self, source: str, fields: dict, path: str, *more: str) -> DataFrame:
         return parsed(self.payloads[source], fields, path).join(self.admitted.select(*CAPTURE, *more), "capture_key")
 
-    def _array(self, source: str, array: str, text: str) -> DataFrame:
-        spec = _spec(text)
-        return _typed(self._staged(source, {array: [_leaves(spec)]}, f"$.{array}[*]"), spec, CAPTURE)
+    def preset(self, **made: DataFrame) -> Sources:
+        """The same sources with some of their relations given, such as tables of a build; payloads by ``payload_<source>``."""
+        payloads = {k.removeprefix("payload_"): made.pop(k) for k in list(made) if k.startswith("payload_")}
+        out = replace(self, payloads=self.payloads | payloads)
+        out.__dict__.update(made)
+        return out
+
+    @cached_property
+    def bootstrap(self) -> DataFrame:
+        """The arrays of each bootstrap capture, parsed once for the four relations that are made of them."""
+        return self._staged("bootstrap_static", {a: [_leaves(_spec(t))] for a, t in BOOTSTRAP.items()} | {"total_players": None}, "$")
+
+    def _of_bootstrap(self, array: str, *more: Column) -> DataFrame:
+        each = self.bootstrap.select(*CAPTURE, *more, F.inline(array))
+        return _typed(each, _spec(BOOTSTRAP[array]), [c for c in each.columns if c not in _leaves(_spec(BOOTSTRAP[array]))])
 
     @cached_property
     def player(self) -> DataFrame:
-        """Players of each capture with the capture's own number of players; one read of the payload serves both."""
-        spec = _spec(PLAYER)
-        records = parsed(self.payloads["bootstrap_static"], {"elements": [_leaves(spec)], "total_players": None}, "$")
-        each = records.select("capture_key", F.col("total_players").cast("int").alias("total_players"), F.inline("elements"))
-        out = _typed(each.join(self.admitted.select(*CAPTURE), "capture_key"), spec, [*CAPTURE, "total_players"])
-        return out.withColumn("news", F.nullif(F.col("news"), F.lit("")))
+        """Players of each capture with the capture's own number of players."""
+        return self._of_bootstrap("elements", F.col("total_players").cast("int").alias("total_players")).withColumn("news", F.nullif(F.col("news"), F.lit("")))
 
     @cached_property
     def team(self) -> DataFrame:
-        return self._array("bootstrap_static", "teams", TEAM)
+        return self._of_bootstrap("teams")
 
     @cached_property
     def position(self) -> DataFrame:
-        return self._array("bootstrap_static", "element_types", POSITION)
+        return self._of_bootstrap("element_types")
 
     @cached_property
     def gameweek(self) -> DataFrame:
-        return self._array("bootstrap_static", "events", GAMEWEEK)
+        return self._of_bootstrap("events")
 
     @cached_property
     def gameweek_status(self) -> DataFrame:
-        return self._array("event_status", "status", STATUS)
+        spec = _spec(STATUS)
+        return _typed(self._staged("event_status", {"status": [_leaves(spec)]}, "$.status[*]"), spec, CAPTURE)
 
     @cached_property
     def fixture(self) -> DataFrame:

@@ -73,7 +73,8 @@ def parsed(payloads: DataFrame, fields: Declaration, path: str) -> DataFrame:
     kind = declared_schema(fields)
     if path == "$[*]":
         return payloads.select("capture_key", F.explode(F.from_json("body", T.ArrayType(kind))).alias("_r")).select("capture_key", "_r.*")
-    whole = payloads.select("capture_key", F.from_json("body", kind).alias("_r")).filter(F.to_json("_r") != "{}").select("capture_key", "_r.*")
+    some = F.coalesce(*[F.col(f"_r.{c}").isNotNull() | F.lit(None) for c in fields])  # true if any field is there, else null
+    whole = payloads.select("capture_key", F.from_json("body", kind).alias("_r")).filter(some).select("capture_key", "_r.*")
     return declared_records(whole, fields, path, ["capture_key"])
 
 
