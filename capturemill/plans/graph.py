@@ -14,6 +14,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from capturemill.plans.builds import Stages, stages_of
+from capturemill.sources.files import Files
+
 
 @dataclass(frozen=True)
 class Node:
@@ -56,18 +59,6 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="build")
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def move(spark: SparkSession, old: str, new: str) -> None:
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    at = fs.Path(old)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(at, fs.Path(new)):
-        raise OSError(f"{old} can't be moved to {new}")
-
-
 class Build:
     """One run over a graph of relations, as a context: its folder goes at the end.
 
@@ -86,7 +77,7 @@ class Build:
         return self
 
     def __exit__(self, *_) -> None:
-        delete(self.spark, self.folder)
+        Files(self.spark).delete(self.folder)
 
     def _closure(self, wanted: Iterable[str]) -> dict[str, tuple[str, ...]]:
         """Everything to run for ``wanted``, each with what it waits for."""
@@ -132,9 +123,16 @@ class Build:
                     self.records[running.pop(done)] = done.result()
         return {n: self.made[n] for n in wanted if n in self.made}
 
+    def _group(self, name: str) -> str:
+        return f"{os.path.basename(self.folder)}:{name}"
+
+    def figures(self) -> dict[str, Stages]:
+        """What Spark did for each relation and check; a relation that is part of another's plan is in that one's figures."""
+        return {n: got for n in self.records if (got := stages_of(self.spark, self._group(n))).tasks}
+
     def _one(self, name: str, table: bool) -> Record:
         began = time.perf_counter()
-        self.spark.sparkContext.setJobDescription(name)
+        self.spark.sparkContext.setJobGroup(self._group(name), name)
         try:
             if name in self.checks:
                 check = self.checks[name]
@@ -164,11 +162,11 @@ def relation_of(spark: SparkSession, nodes: dict[str, Node], name: str, checks:
         if name not in made:
             raise NotBuilt("; ".join(f"{r.name} {r.status}: {r.said}" for r in build.records.values() if r.status in ("failed", "skipped")))
         schema, path = made[name].schema, os.path.join(shared_folder(spark), f"relation-{uuid.uuid4().hex}")
-        move(spark, os.path.join(build.folder, name.replace(":", "-")), path)
+        Files(spark).move(os.path.join(build.folder, name.replace(":", "-")), path)
     atexit.register(_forget, spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
 def _forget(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is not None:  # a stopped session took its folder's handle along
-        delete(spark, path)
+        Files(spark).delete(path)

@@ -1,15 +1,21 @@
-"""Guarded publish: floors by season, counts that don't fall, a versioned output contract, the manifest last."""
+"""Guarded publish: floors by season, counts that don't fall, a versioned output contract, the manifest last.
+
+A publish writes its tables into a folder of its own below the destination, on any file system that Spark reaches. What makes it the
+current one is a new numbered manifest, created whole and only if it doesn't exist: of two publishes that follow the same one, one
+commits and the other takes its tables away. ``manifest.json`` is a copy of the newest for readers of a fixed name.
+"""
 
 from __future__ import annotations
 
 import json
-import shutil
+import posixpath
 import uuid
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capturemill.sources.files import Files
+
 
 def floor_failures(actual: dict, expected: dict, tolerance: float, exact: bool = False) -> list[str]:
     """Seasons with fewer rows than expected less the tolerance; with ``exact`` any other number fails."""
@@ -37,37 +43,62 @@ def contract_failures(previous: dict | None, version: int, columns: dict[str, li
     return [f"{t}: columns changed under one version" for t, old in previous["columns"].items() if columns.get(t, [])[: len(old)] != old]
 
 
-def previous_manifest(path: Path) -> tuple[dict | None, str | None]:
-    """The manifest of the publish before, or why it can't be compared with."""
+def floors(actual: DataFrame, expected: DataFrame, tolerance: float) -> DataFrame:
+    """``floor_failures`` over many tables at once: ``table_name, season, n_rows, expected, floor`` of the seasons with too few rows, of those expected and not there too."""
+    want = expected.select("table_name", "season", F.col("expected").cast("long").alias("expected"))
+    j = want.join(actual.select("table_name", "season", "n_rows"), ["table_name", "season"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long"))
+    return j.withColumn("floor", F.floor(F.col("expected") * F.lit(1 - tolerance)).cast("long")).filter("n_rows < floor").select("table_name", "season", "n_rows", "expected", "floor")
+
+
+def falls(now: DataFrame, before: DataFrame, restated: list[str] = ()) -> DataFrame:
+    """``falling_counts`` over many tables at once: ``table_name, season, n_rows, n_before`` of seasons with fewer rows than before, but for the restated ones."""
+    j = before.select("table_name", "season", F.col("n_rows").alias("n_before")).join(now.select("table_name", "season", "n_rows"), ["table_name", "season"], "left")
+    j = j.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long")).filter(F.col("n_rows") < F.col("n_before"))
+    return (j.filter(~F.col("season").isin(list(restated))) if restated else j).select("table_name", "season", "n_rows", "n_before")
+
+
+def previous_manifest(files: Files, dest: str) -> tuple[dict | None, int, str | None]:
+    """The newest manifest at ``dest`` and its number, or why it can't be compared with."""
+    names = files.names(posixpath.join(dest, "_manifests", "*.json"))
+    if not names:
+        return None, 0, f"there is no manifest of a publish before at {dest}"
     try:
-        found = json.loads(path.read_text())
+        found = json.loads(files.read(names[-1]))
         found["row_counts_by_season"] = {t: {s: int(n) for s, n in by.items()} for t, by in found["row_counts_by_season"].items()}
-    except (OSError, ValueError, KeyError, TypeError, AttributeError) as e:
-        return None, f"manifest {path} of the publish before can't be read: {type(e).__name__} {e}"
+    except (ValueError, KeyError, TypeError, AttributeError) as e:
+        return None, _number(names[-1]), f"manifest {names[-1]} of the publish before can't be read: {type(e).__name__} {e}"
     # Manifests from before these fields are good all the same.
-    return {"contract_version": 0, "columns": {}, **found}, None
+    return {"contract_version": 0, "columns": {}, **found}, _number(names[-1]), None
+
+
+def _number(name: str) -> int:
+    return int(posixpath.basename(name).removesuffix(".json"))
 
 
-def served_paths(dest: str) -> dict[str, str]:
-    """The folder of each published table."""
-    m = json.loads((Path(dest) / "manifest.json").read_text())
-    return {t: str(Path(dest) / m["build"] / t) for t in m["row_counts_by_season"]}
+def served_paths(spark: SparkSession, dest: str) -> dict[str, str]:
+    """The folder of each published table, by the newest manifest."""
+    found, _, problem = previous_manifest(Files(spark), dest)
+    if found is None:
+        raise FileNotFoundError(problem)
+    return {t: posixpath.join(dest, found["build"], t) for t in found["row_counts_by_season"]}
 
 
-def publish(tables: dict[str, DataFrame], expected: dict[str, dict], dest: str, version: int, tolerance: float = 0.02, exact: set = frozenset(), restated: set = frozenset(), season: str = "season", without_baseline: bool = False) -> list[str]:
-    """Write, read back and check all tables, then put them in a folder of their own at ``dest`` and let a new manifest name it.
+def publish(spark: SparkSession, tables: dict[str, DataFrame], expected: dict[str, dict], dest: str, version: int, tolerance: float = 0.02, exact: set = frozenset(), restated: set = frozenset(), season: str = "season", without_baseline: bool = False, one_file: bool = True) -> list[str]:
+    """Write, read back and check all tables, then commit a manifest that names them. Failures change nothing and are returned.
 
-    The manifest is replaced in one rename, so readers see the old tables or the new ones (see ``served_paths``). Failures change nothing. A missing or
-    unreadable manifest of the publish before is a failure unless ``without_baseline``, which the new manifest records.
+    Readers see the old tables or the new ones (see ``served_paths``); those of the publish before stay for readers that have begun. A
+    missing or unreadable manifest is a failure unless ``without_baseline``, which the new manifest records. ``one_file=False`` leaves
+    a table in as many files as it has tasks.
     """
-    target, stage = Path(dest), Path(dest).parent / f".{uuid.uuid4().hex}"
-    last = target / "manifest.json"
-    previous, problem = previous_manifest(last)
-    failures, counts, columns = [problem] if problem and not without_baseline else [], {}, {}
+    files, build = Files(spark), uuid.uuid4().hex
+    fresh = not files.exists(dest)
+    previous, number, problem = previous_manifest(files, dest)
+    failures, counts, columns, kept = [problem] if problem and not without_baseline else [], {}, {}, False
     try:
         for name, df in tables.items():
-            df.coalesce(1).write.option("compression", "zstd").parquet(str(stage / name))
-            back = df.sparkSession.read.parquet(str(stage / name))
+            at = posixpath.join(dest, build, name)
+            (df.coalesce(1) if one_file else df).write.option("compression", "zstd").parquet(at)
+            back = spark.read.parquet(at)
             counts[name] = {str(r[season]): r["n"] for r in back.groupBy(season).agg(F.count(F.lit(1)).alias("n")).collect()}
             columns[name] = [list(x) for x in back.dtypes]
             failures += [f"{name} {x}" for x in floor_failures(counts[name], {str(k): v for k, v in expected[name].items()}, tolerance, name in exact)]
@@ -75,14 +106,17 @@ def publish(tables: dict[str, DataFrame], expected: dict[str, dict], dest: str,
                 failures += [f"{name} {x}" for x in falling_counts(counts[name], previous["row_counts_by_season"][name], restated)]
         failures += contract_failures(previous, version, columns)
         if not failures:
-            build = stage.name.lstrip(".")
-            target.mkdir(parents=True, exist_ok=True)
-            stage.rename(target / build)
-            new = target / f".{build}.json"
-            new.write_text(json.dumps({"build": build, "contract_version": version, "columns": columns, "row_counts_by_season": counts, "restated_seasons": sorted(restated), "published_without_baseline": bool(problem)}))
-            new.replace(last)
-            if previous and previous.get("build"):
-                shutil.rmtree(target / previous["build"], ignore_errors=True)
+            manifest = json.dumps({"build": build, "before": previous.get("build") if previous else None, "contract_version": version, "columns": columns, "row_counts_by_season": counts, "restated_seasons": sorted(restated), "published_without_baseline": bool(problem)})
+            try:
+                files.put(posixpath.join(dest, "_manifests", f"{number + 1:08d}.json"), manifest)
+                kept = True
+            except FileExistsError:
+                failures.append(f"another publish has followed number {number}")
     finally:
-        shutil.rmtree(stage, ignore_errors=True)
+        if not kept:
+            files.delete(dest if fresh and not files.names(posixpath.join(dest, "_manifests", "*.json")) else posixpath.join(dest, build))
+    if kept:
+        files.put(posixpath.join(dest, "manifest.json"), manifest, replace=True)
+        if previous and previous.get("before"):
+            files.delete(posixpath.join(dest, previous["before"]))
     return failures

@@ -6,7 +6,7 @@ relation has ``capture_key, body`` (JSON text), whether read from files or at ha
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from capturemill.functions.scalars import capture_key
 from capturemill.operators.captures import admit
 from capturemill.sources.declared import capture_index, cast_columns, declared_records, parsed
+from capturemill.sources.files import Files
+from capturemill.sources.places import Reading
 
 # The staged columns by relation, as the payload's name, the column's name and its type.
 PLAYER = "id fpl_id int, web_name web_name string, code player_code int, element_type position_id int, total_points total_points int, team team_fpl_id int, status status string, chance_of_playing_this_round chance_of_playing_this_round int, chance_of_playing_next_round chance_of_playing_next_round int, news news string, news_added news_added timestamp_ntz, can_select can_select boolean, removed removed boolean, now_cost now_cost int, selected_by_percent selected_by_percent decimal(4;1), transfers_in_event transfers_in_event int, transfers_out_event transfers_out_event int"
@@ -75,6 +77,38 @@ def payloads_from_files(spark: SparkSession, paths: list[str], root: str) -> Dat
     return spark.read.text(paths, wholetext=True).select(capture_key(F.col("_metadata.file_path"), root).alias("capture_key"), F.col("value").alias("body"))
 
 
+# The schemas of manifests, catalog, markers and panels.
+_CAPTURES = "array<struct<key: string, endpoint: string, received_at: string, content_sha256: string, content_length: bigint, http_status: int, shape_ok: boolean, usable: boolean, season: string{more}>>"
+MANIFESTS = "raw_contract_version string, run_id string, extraction_date string, status string, started_at string, ended_at string, trigger string, origin struct<kind: string, workflow: string, ref: string, github_run_id: string, aws_principal: string>, captures " + _CAPTURES.format(more="")
+CATALOG = "run_id string, scope string, captures " + _CAPTURES.format(more=", shape_source: string, validator_version: string")
+MARKERS = "event int, entries int, run_id string, recorded_at string"
+PANEL = "season string, entries array<struct<entry_id: bigint, cohort: string>>"
+
+
+def declarations() -> dict[str, dict]:
+    """What is read of each source's payloads, as a whole capture."""
+    return {
+        "bootstrap_static": {a: [_leaves(_spec(t))] for a, t in BOOTSTRAP.items()} | {"total_players": None}, "fixtures": _leaves(_spec(FIXTURE)), "event_status": {"status": [_leaves(_spec(STATUS))]}, "element_summary": {"history": [_leaves(HISTORY)]},
+        "entry_picks": {"active_chip": None, "entry_history": _leaves(_spec(ENTRY)), "automatic_subs": [_leaves(_spec(SUBSTITUTION))], "picks": [_leaves(_spec(PICK))]},
+    }
+
+
+def sources_from_files(spark: SparkSession, reading: Reading, seeds: DataFrame) -> Sources:
+    """What a build reads, from the trees of ``reading``: manifests, catalog, markers and panels below ``<raw>/fpl``, payloads as ``reading`` says. Unreadable manifests fail the build."""
+    top, files = reading.roots.raw.rstrip("/") + "/fpl", Files(spark)
+
+    def small(pattern: str, schema: str) -> DataFrame:
+        if not files.names(f"{top}/{pattern}"):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(f"{top}/{pattern}")
+
+    records, payloads = {}, {}
+    for source, fields in declarations().items():
+        records[source] = reading.captures(spark, source, fields).drop("path")
+        payloads[source] = payloads_from_files(spark, reading.globs(spark, source), "fpl")
+    return Sources(small("_manifests/*/*/manifest.json", MANIFESTS), small("_catalog/backfill/*.json", CATALOG), seeds, payloads, small("_panels/*/*.json", PANEL), small("_settlement/entry-picks/*/marker.json", MARKERS), records)
+
+
 def stg_run(manifests: DataFrame) -> DataFrame:
     """Finalised runs with their origin laid flat."""
     m = manifests.filter("status <> 'IN_PROGRESS'")
@@ -94,6 +128,8 @@ class Sources:
     payloads: dict[str, DataFrame]
     panel: DataFrame
     markers: DataFrame
+    #: Sources whose declared columns are read already (capture_key and the columns), such as from compacted parts; their payloads aren't needed.
+    records: dict[str, DataFrame] = field(default_factory=dict)
 
     @cached_property
     def index(self) -> DataFrame:
@@ -120,12 +156,14 @@ class Sources:
         )
 
     def _staged(self, source: str, fields: dict, path: str, *more: str) -> DataFrame:
-        return parsed(self.payloads[source], fields, path).join(self.admitted.select(*CAPTURE, *more), "capture_key")
+        got = declared_records(self.records[source], fields, path, ["capture_key"]) if source in self.records else parsed(self.payloads[source], fields, path)
+        return got.join(self.admitted.select(*CAPTURE, *more), "capture_key")
 
     def preset(self, **made: DataFrame) -> Sources:
-        """The same sources with some of their relations given, such as tables of a build; payloads by ``payload_<source>``."""
+        """The same sources with some of their relations given, such as tables of a build; payloads by ``payload_<source>``, read records by ``records_<source>``."""
         payloads = {k.removeprefix("payload_"): made.pop(k) for k in list(made) if k.startswith("payload_")}
-        out = replace(self, payloads=self.payloads | payloads)
+        records = {k.removeprefix("records_"): made.pop(k) for k in list(made) if k.startswith("records_")}
+        out = replace(self, payloads=self.payloads | payloads, records=self.records | records)
         out.__dict__.update(made)
         return out
 

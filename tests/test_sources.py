@@ -1,4 +1,4 @@
-"""Files: declared reads, compaction and publish."""
+"""Settled periods, places and key presence."""
 
 import hashlib
 import json
@@ -6,66 +6,11 @@ import json
 import pytest
 
 from capturemill.operators import presence
-from capturemill.plans import builds
-from capturemill.plans.publish import contract_failures, publish, served_paths
-from capturemill.sources import compaction, declared, places
+from capturemill.sources import compaction, places
 
 FIELDS = {"id": None, "items": [{"a": None, "b": None}]}
 
 
-def _put(root, day, run, value):
-    p = root / "e" / day / run / "payload.json"
-    p.parent.mkdir(parents=True)
-    p.write_text(value if isinstance(value, str) else json.dumps(value))
-
-
-def test_declared_read_compaction_and_union(spark, tmp_path):
-    raw, dest = tmp_path / "raw", tmp_path / "parts"
-    _put(raw, "2024-01-01", "r1", {"id": "1", "items": [{"a": 1, "x": 9}, {"b": "z"}]})
-    _put(raw, "2024-01-02", "r2", {"id": "2", "items": []})
-    _put(raw, "2024-01-03", "r3", {"id": "3", "items": [{"a": 5}], "other": 1})
-    fs = compaction.days_of(str(raw))
-    before = sorted(map(str, compaction.compacted_read(spark, str(raw), str(dest), FIELDS).select("id", "items").collect()))
-    assert compaction.run_step(spark, str(raw), str(dest), FIELDS, "2024-01-03", 60) == (["2024-01-01", "2024-01-02"], {})
-    assert compaction.select_days(str(raw), str(dest), "2024-01-03") == []
-    got = compaction.compacted_read(spark, str(raw), str(dest), FIELDS)
-    assert sorted(map(str, got.select("id", "items").collect())) == before
-    rows = declared.declared_records(got, FIELDS, "$.items[*]", ["id"]).collect()
-    assert sorted((r.id, r.a, r.b) for r in rows if r.a) == [("1", "1", None), ("3", "5", None)] and len(rows) == 3
-    with pytest.raises(ValueError):
-        declared.declared_records(got, FIELDS, "$.nope[*]", [])
-    with pytest.raises(compaction.CompactionError):
-        compaction.compact_day(spark, "2024-01-01", fs["2024-01-01"], FIELDS, str(dest), index={"k": "0"})
-    (dest / "_manifest" / "2024-01-09.json").write_text('{"capture_day": "x"}')
-    with pytest.raises(compaction.CompactionError):
-        compaction.compacted_read(spark, str(raw), str(dest), FIELDS)
-
-
-def test_unreadable_payloads_are_left_out_or_fail(spark, tmp_path):
-    _put(tmp_path, "2024-01-01", "r1", "{not json")
-    _put(tmp_path, "2024-01-01", "r2", {"id": "1"})
-    files = compaction.days_of(str(tmp_path))["2024-01-01"]
-    assert declared.read_captures(spark, files, FIELDS).count() == 1
-    with pytest.raises(Exception):
-        declared.read_captures(spark, files, FIELDS, strict=True).collect()
-
-
-def test_publish_guards(spark, tmp_path):
-    d = spark.createDataFrame([("s1", 1), ("s1", 2), ("s2", 3)], "season string, v int")
-    dest = str(tmp_path / "served")
-    assert publish({"t": d}, {"t": {"s1": 2, "s2": 1}}, dest, 1) and not (tmp_path / "served").exists()  # no baseline
-    assert publish({"t": d}, {"t": {"s1": 2, "s2": 1}}, dest, 1, without_baseline=True) == []
-    assert publish({"t": d}, {"t": {"s1": 9, "s2": 1}}, dest, 1) and publish({"t": d.filter("v > 1")}, {"t": {}}, dest, 1)
-    assert publish({"t": d.filter("v > 1")}, {"t": {}}, dest, 1, restated={"s1"}) == []
-    assert spark.read.parquet(served_paths(dest)["t"]).count() == 2 and len(list((tmp_path / "served").iterdir())) == 2
-    assert json.loads((tmp_path / "served" / "manifest.json").read_text())["restated_seasons"] == ["s1"]
-    (tmp_path / "served" / "manifest.json").write_text("{")
-    assert publish({"t": d}, {"t": {}}, dest, 1) and publish({"t": d}, {"t": {}}, dest, 1, without_baseline=True) == []
-    assert contract_failures({"contract_version": 2, "columns": {"t": [["a", "int"]]}}, 2, {"t": [["a", "bigint"]]})
-    assert not contract_failures({"contract_version": 2, "columns": {"t": [["a", "int"]]}}, 2, {"t": [["a", "int"], ["b", "int"]]})
-    assert contract_failures({"contract_version": 2, "columns": {}}, 1, {})
-
-
 def test_settled_periods_are_sealed_once(spark, tmp_path):
     raw, dest, captures = tmp_path / "picks", tmp_path / "parts", {}
     for season, period, entry, run in (("s1", "3", "7", "r1"), ("s1", "3", "8", "r1"), ("s1", "4", "7", "r2"), ("s1", "5", "7", "r3")):
@@ -96,23 +41,6 @@ def test_places_and_seeds(spark, tmp_path):
     assert [tuple(r) for r in places.read_seed(spark, str(tmp_path / "seed.csv")).collect()] == [("r1", "ci", None, "w", None)]
 
 
-def test_builds_are_compared_with_one_sided_tables(spark, tmp_path):
-    a = spark.createDataFrame([("s1", 1, "x"), ("s1", 2, "y"), ("s1", 2, "y")], "season string, k int, v string")
-    b = spark.createDataFrame([("s1", 1, "z"), ("s1", 2, "y")], "season string, k int, v string")
-    got = builds.build_diff({"t": a, "old": a, "u": a.limit(0)}, {"t": b, "u": b.limit(0), "w": b.drop("v")}, {"t": ["season", "k"], "none": ["k"]}, ("r", "r"))
-    assert got.differing == ["none", "old", "t", "w"] and got.columns == {"t": ["v"]}
-    assert {r["table"]: (r["before_rows"], r["after_rows"], r["only_before"], r["only_after"]) for r in got.counts} == {"t": (3, 2, 1, 1), "old": (3, 0, 2, 0), "w": (0, 2, 0, 2)}
-    assert builds.build_diff({"t": a}, {"t": a.distinct()}, {}, ("r", "r")).differing == ["t"]  # copies count
-    with pytest.raises(builds.Inconclusive):
-        builds.build_diff({}, {}, {}, ("r1", "r2"))
-    builds.export_build(spark, {"t": a}, str(tmp_path / "out"), 5, "r9")
-    assert spark.read.json(str(tmp_path / "out" / "build")).first().newest_run_id == "r9"
-    m = builds.Metrics()
-    with m.timed("t"):
-        pass
-    assert m.record({"t": a.withColumnRenamed("v", "capture_key")})["captures"] == {"t": 2}
-
-
 def test_presence_findings_of_the_newest_run(spark):
     admitted = spark.createDataFrame([("raw/a", "e/1", "r1", 1), ("raw/b", "e/2", "r2", 2), ("raw/c", "e/3", "r2", 2), ("history/d", "e/4", "r9", 9)], "capture_key string, endpoint string, run_id string, observed_at int")
     objects = spark.createDataFrame([("raw/b", '{"l": [{"m": [{"k": null}, {"k": 1}]}, {"m": [{}]}]}'), ("raw/a", "{}")], "capture_key string, json string")
