@@ -47,9 +47,24 @@ BAD_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidebars aside footer masthead banner cookie cookies consent gdpr notice notices notification alert ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted popup modal overlay newsletter subscribe subscription signup login comment comments commentlist respond disqus reply replies share sharing social related recommended widget widgets toolbar pagination pager copyright disclaimer paywall hidden".split()
 )
 GOOD_WORDS = frozenset("article content post entry story main body text".split())
+# Words of both lists, elements of running text, and words that say nothing of a part's role.
+DOUBTFUL = frozenset("social related share sharing recommended notice notices alert promotion copyright menu navigation subscription popup".split())
+DOUBTFUL_OF_TEXT = DOUBTFUL | frozenset("comment comments reply replies widget widgets modal overlay login".split())
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td figure figcaption".split())
+FILLER = frozenset("bar block bottom box button buttons container content group icon icons inline inner item items left link links list panel posts articles stories right row section slot strip top unit wrap wrapper".split())
 _CLOSES_P = frozenset("p div ul ol table h1 h2 h3 h4 h5 h6 section article header footer nav aside form blockquote pre hr dl figure main address fieldset".split())
 
 
+def _bad_class(tag: str, words: set[str], level: int) -> bool:
+    """Whether words of class and id say boilerplate. In a marked article a doubtful word does so only for a part whose words all do, and never for an element of running text."""
+    bad = words & BAD_WORDS
+    if not bad or level < 3:
+        return bool(bad)
+    if tag in TEXT:
+        return bool(bad - DOUBTFUL_OF_TEXT)
+    return bool(bad - DOUBTFUL) or not {w for w in words - BAD_WORDS - FILLER if not w.isdigit() and w}
+
+
 def _judge(tag: str, attrs: str, level: int) -> tuple[bool, int]:
     """Whether an element is boilerplate, and the level of article mark under it (3 article, 2 main, 1 content class, 0 none)."""
     if tag in BOILERPLATE:
@@ -71,7 +86,7 @@ def _judge(tag: str, attrs: str, level: int) -> tuple[bool, int]:
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 return True, level
         if words and tag not in ("html", "body", "article", "main"):
-            if words & BAD_WORDS or ("header" in words and not level and not words & GOOD_WORDS):
+            if _bad_class(tag, words, level) or ("header" in words and not level and not words & GOOD_WORDS):
                 return True, level
             if words & GOOD_WORDS and tag in ("div", "section", "td"):
                 new = max(new, 1)

@@ -1,6 +1,7 @@
 """Main text by brute force over a host's streams, and the awkward pages."""
 
 import collections
+import re
 
 import pytest
 
@@ -84,3 +85,21 @@ def test_odd_tables(spark):
     d = spark.createDataFrame([(1, "http://h/1", f"<article>{long}</article>", 5, "k"), (None, "http://h/1", "<article>a &amp; b</article>", 6, "k")], "page_id long, url string, html string, row long, head string")
     got = {r.page_id: r.text for r in html_text.extract_pages(d).collect()}
     assert got[1] == ("x y z " * 100_000).strip() and got[None] == "a & b"
+
+
+@pytest.mark.parametrize(
+    ("part", "kept"),
+    [
+        ('<p class="social">Social housing was built.</p>', True), ('<div class="related-work">Related work is cited.</div>', True), ('<h2 id="comments-on-method">Comments on method</h2>', True),
+        ('<li class="share">A share of the vote.</li>', True), ('<div class="copyright-law">Copyright law changed.</div>', True), ('<div class="social-links">Follow us</div>', False), ('<div class="share">Share this</div>', False),
+        ('<section class="related posts">More like this</section>', False), ('<div id="comments-3" class="thread">A reader says</div>', False), ('<p class="ad">Buy now</p>', False), ('<div class="ad-slot">Buy now</div>', False),
+        ('<aside class="related-work">By the way</aside>', False), ('<div class="related-work" role="navigation">Next</div>', False),
+    ],
+)
+def test_class_words_in_an_article(part, kept):
+    """In a marked article a doubtful class word drops a part only if all of its class does; outside of one it does as before."""
+    text = re.sub("<[^>]*>", "", part)
+    page = html_text.blocks(f"<body><article><p>First words.</p>{part}<p>Last words.</p></article></body>")
+    assert " ".join(t for k, t in page if k == 3) == (f"First words. {text} Last words." if kept else "First words. Last words.")
+    if "div" in part or "section" in part:
+        assert [k for k, t in html_text.blocks(f"<body>{part}</body>")] == [-1]
