@@ -530,7 +530,7 @@ def _row_hash(docs: DataFrame):
 def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, most_frequent: int = 200_000, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False) -> DataFrame:
     """``doc_id, n, group, row`` for every row of ``docs``: the number of its shingles, its component by set, and the hash of the row; with ``count_links`` also ``n_links``."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 2_000_000)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _row_hash(docs).alias("row"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     classes = checkpointed(rows.mapInArrow(trimmed(_classes(n)), f"doc_id {kind}, n long, sid long, bits binary, row long"))
