@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capturemill.functions.scalars import contains, second_boundaries
+from capturemill.functions.scalars import contains, make_date, parse_filename, second_boundaries, segment, strptime
 from capturemill.operators import asof, captures, checks, diff, history, origin, spine
-from capturemill.plans import builds
+from capturemill.plans import builds, publish
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -453,6 +453,30 @@ def per_season_floor(spark, sf_dir):
     return g.withColumn("ok", F.col("actual") >= F.floor(F.col("expected") * F.lit(0.95)))
 
 
+_BY_SEASON = """SELECT 'orders' AS table_name, year(o_orderdate)::VARCHAR AS season, count(*) AS n FROM orders WHERE {0} GROUP BY 2 UNION ALL SELECT 'lineitem', year(l_shipdate)::VARCHAR, count(*) FROM lineitem WHERE {1} GROUP BY 2"""
+_NOW = _BY_SEASON.format("year(o_orderdate) NOT IN (1995, 1996) OR o_orderkey % 10 <> 7", "year(l_shipdate) <> 1997")
+
+
+def _rows_by_season(spark, sf_dir, whole: bool, name: str):
+    """Rows of two tables by year, whole or with losses in three years."""
+    o, l = _orders(spark, sf_dir), read(spark, sf_dir, "lineitem").withColumn("season", F.year("l_shipdate"))
+    if not whole:
+        o, l = o.filter(~F.col("season").isin(1995, 1996) | (F.col("o_orderkey") % 10 != 7)), l.filter("season <> 1997")
+    return builds.build_shape({"orders": o, "lineitem": l}).withColumnRenamed("n_rows", name)
+
+
+@query(f"""WITH a AS ({_NOW}), e AS ({_BY_SEASON.format("true", "true")}) SELECT table_name, season, coalesce(a.n, 0)::BIGINT AS n_rows, e.n AS expected, floor(e.n * 0.98::DOUBLE)::BIGINT AS floor FROM e LEFT JOIN a USING (table_name, season) WHERE coalesce(a.n, 0) < floor(e.n * 0.98::DOUBLE)""")
+def publish_floor_failures(spark, sf_dir):
+    """Seasons of tables that a publish would refuse: fewer rows than expected less the tolerance, or none."""
+    return publish.floors(_rows_by_season(spark, sf_dir, False, "n_rows"), _rows_by_season(spark, sf_dir, True, "expected"), 0.02)
+
+
+@query(f"""WITH a AS ({_NOW}), b AS ({_BY_SEASON.format("true", "true")}) SELECT table_name, season, coalesce(a.n, 0)::BIGINT AS n_rows, b.n AS n_before FROM b LEFT JOIN a USING (table_name, season) WHERE coalesce(a.n, 0) < b.n AND season <> '1996'""")
+def publish_falling_counts(spark, sf_dir):
+    """Seasons of tables with fewer rows than in the publish before, but for one that is restated."""
+    return publish.falls(_rows_by_season(spark, sf_dir, False, "n_rows"), _rows_by_season(spark, sf_dir, True, "n_rows"), ["1996"])
+
+
 @query("SELECT o_custkey, year(o_orderdate)::INT AS season, count(*) AS n_rows FROM orders GROUP BY ALL HAVING count(*) > 1")
 def unique_combination(spark, sf_dir):
     """Customers with several orders in a year."""
@@ -503,3 +527,32 @@ def except_distinct(spark, sf_dir):
 def build_shape(spark, sf_dir):
     """Rows of relations by season."""
     return builds.build_shape({"orders": _orders(spark, sf_dir), "nation": read(spark, sf_dir, "nation")})
+
+
+@query("SELECT page_id, parse_filename(url) AS name, parse_filename(url, true) AS stem, string_split(url, '/')[-3] AS third_from_end FROM pages")
+def path_parts(spark, sf_dir):
+    """The last part of each page's address, with and without its extension, and the third from the end."""
+    return read(spark, sf_dir, "pages").select("page_id", parse_filename(F.col("url")).alias("name"), parse_filename(F.col("url"), True).alias("stem"), segment(F.col("url"), -3).alias("third_from_end"))
+
+
+@query("SELECT o_orderkey, strptime(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y%m%dT%H%M%SZ') END, '%Y%m%dT%H%M%SZ') AS parsed, make_date(year(o_orderdate), month(o_orderdate), day(o_orderdate)) AS day FROM orders")
+def run_moments(spark, sf_dir):
+    """Moments read from text as run ids write them, and dates from their parts."""
+    o = read(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 7 != 0, F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss'Z'"))
+    return o.select("o_orderkey", strptime(text, "%Y%m%dT%H%M%SZ").alias("parsed"), make_date(F.year("o_orderdate"), F.month("o_orderdate"), F.day("o_orderdate")).alias("day"))
+
+
+@query("SELECT o_orderkey, count(*) FILTER (o_orderstatus = 'F') OVER (PARTITION BY o_custkey) AS n_final FROM orders")
+def filtered_count_over_partition(spark, sf_dir):
+    """Each order with the number of its customer's final ones, counted first and joined back, so that a customer's orders need not meet in one task."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    n = o.groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("n_final"))
+    return o.join(n, "o_custkey").select("o_orderkey", "n_final")
+
+
+@query("SELECT o_custkey, to_json(list(o_orderkey ORDER BY o_orderdate, o_orderkey))::VARCHAR AS orders_json FROM orders GROUP BY 1")
+def json_group_array(spark, sf_dir):
+    """Each customer's orders as a JSON array, oldest first."""
+    each = F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey")))
+    return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.transform(each, lambda x: x["o_orderkey"])).alias("orders_json"))

@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from capturemill.functions.scalars import segment
+
 from .declared import declared_schema, declared_typed, read_captures
-from .files import Files, listing, segment
+from .files import Files, listing
 
 
 class CompactionError(RuntimeError):
@@ -30,7 +32,7 @@ class CompactionError(RuntimeError):
 
 def day_listing(spark: SparkSession, root: str) -> DataFrame:
     """``path, length, modified, day`` of the payloads below ``root``; the day is the third part from the end."""
-    return listing(spark, root).withColumn("day", segment("path", 3))
+    return listing(spark, root).withColumn("day", segment(F.col("path"), -3))
 
 
 def days_of(spark: SparkSession, root: str) -> list[str]:
@@ -218,7 +220,7 @@ def period_listing(spark: SparkSession, root: str) -> DataFrame:
     """``path, season, period, run_id`` of the payloads ``<season>/<period>/<entry>/<day>/<run>/payload.json`` below ``root``."""
     up = len(Files(spark).qualified(root).rstrip("/").split("/"))
     found = listing(spark, root).filter(F.size(F.split("path", "/")) == up + 6)
-    return found.select("path", segment("path", 6).alias("season"), segment("path", 5).alias("period"), segment("path", 2).alias("run_id"))
+    return found.select("path", segment(F.col("path"), -6).alias("season"), segment(F.col("path"), -5).alias("period"), segment(F.col("path"), -2).alias("run_id"))
 
 
 def period_manifests(spark: SparkSession, dest: str) -> dict[tuple[str, str], dict]:

@@ -93,8 +93,3 @@ def listing(spark: SparkSession, root: str, name: str = "payload.json") -> DataF
         return spark.createDataFrame([], "path string, length long, modified timestamp")
     found = spark.read.format("binaryFile").option("pathGlobFilter", name).option("recursiveFileLookup", True).load(root)
     return found.select("path", "length", F.col("modificationTime").alias("modified"))
-
-
-def segment(path, from_end: int):
-    """A path's part, counted from its end: 1 is the file's name."""
-    return F.element_at(F.split(path, "/"), -from_end)
