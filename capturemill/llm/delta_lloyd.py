@@ -26,6 +26,8 @@ from .common import released, shared_folder, small_batches, trimmed, written
 
 #: Largest component: 64 squares of twice this fit a long.
 LIMIT = 1 << 27
+#: Vectors for each bucket, up to as many buckets as the session has shuffle partitions.
+BUCKET_ROWS = 10_000
 
 
 def integers(df: DataFrame, id_col: str, vector_col: str, dims: int, scale: int) -> DataFrame:
@@ -120,7 +122,7 @@ def cluster(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     schema = f"vec_id {kind}, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string, centroid array<int>"
     if not centroids:
         return spark.createDataFrame([], schema)
-    tables = _Tables(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tables = _Tables(spark, max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-vectors.count() // BUCKET_ROWS))))
     keyed = vectors.withColumn("rid", F.monotonically_increasing_id()).repartition(tables.buckets, "rid")
     base = tables.put(keyed)
     released(keyed)

@@ -6,11 +6,12 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from capturemill.llm import delta_lloyd, fill_middle, repeats
+from capturemill.llm import delta_lloyd, fill_middle, queries, repeats
 
 
 def _sha(x):
@@ -206,3 +207,16 @@ def test_remove_repeats_keeps_rows_and_columns(spark):
     assert got[None].kept_bytes is None and got[None].removed_spans == []
     assert repeats.digests(df.limit(0)).count() == 0
     assert repeats.remove_repeats(df.where(F.col("text").isNull()), length=40, gram=10).count() == 1
+
+
+@pytest.mark.parametrize("name", ["op11_delta_lloyd", "op12_fill_middle", "op13_suffix_array_dedup"])
+def test_queries_equal_their_sql(spark, name):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, sf)
+    cols = sorted(df.columns)
+    rel = con.sql(queries.ORACLE_SQL[name])
+    assert sorted(rel.columns) == cols
+    assert sorted(map(str, (tuple(r) for r in df.select(cols).collect()))) == sorted(map(str, rel.select(*cols).fetchall()))
