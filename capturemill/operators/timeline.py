@@ -19,17 +19,26 @@ SHARE = 64
 SLICES = 64
 #: A key of no more rows than this is never cut.
 LEAST = 100_000
+#: Inputs of no more bytes than this, by the statistics of their files, hold no key that a task can't, and aren't counted.
+SMALL = 32_000_000
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of what a plan reads, by the statistics of its leaves; what Spark knows no size of counts as very large."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 class Timeline:
     """``rows`` with the columns ``by`` to partition windows by; ``cut`` tells whether any key is hot.
 
-    Building one counts rows by key, of which one row comes to the driver. ``share=0`` leaves out the count and cuts nothing.
+    Building one counts rows by key, of which one row comes to the driver; small inputs aren't counted, unless ``least`` is below its default.
+    ``share=0`` leaves out the count and cuts nothing.
     """
 
     def __init__(self, rows: DataFrame, keys: list[str], time: str, share: int = SHARE, least: int = LEAST):
         self.rows, self.keys, self.by, self.cut = rows, keys, keys, False
-        if not share:
+        if not share or least >= LEAST and input_bytes(rows) <= SMALL:
             return
         counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         found = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
