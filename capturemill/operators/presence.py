@@ -34,27 +34,31 @@ def latest_live_run_missing(admitted: DataFrame, endpoint: str, present: DataFra
     return gone.groupBy("run_id").agg(F.count(F.lit(1)).alias("captures_without_bytes"))
 
 
-def records_at(objects: DataFrame, path: str | None) -> DataFrame:
-    """``rec``, the JSON texts at a path of names and ``[*]`` below ``$`` in each ``json``; null ones are left out."""
-    rec = objects.select(F.col("json").alias("rec"))
+def records_at(objects: DataFrame, path: str | None, *keep: str) -> DataFrame:
+    """``rec``, the JSON texts at a path of names and ``[*]`` below ``$`` in each ``json``, with the columns ``keep``; null ones are left out."""
+    rec = objects.select(*keep, F.col("json").alias("rec"))
     for step in re.findall(r"\[\*\]|[^.\[\]$]+", path or "$"):
-        rec = rec.select((F.explode(F.from_json("rec", "array<string>")) if step == "[*]" else F.get_json_object("rec", f"$['{step}']")).alias("rec"))
+        rec = rec.select(*keep, (F.explode(F.from_json("rec", "array<string>")) if step == "[*]" else F.get_json_object("rec", f"$['{step}']")).alias("rec"))
     return rec.filter("rec is not null")
 
 
 def source_key_presence(source: str, specs: list[tuple[str, str, str | None]], captures: DataFrame, objects: DataFrame) -> DataFrame:
     """``source_name, column_name, run_id, captures, records, missing``, a row for each spec. A key with a null value is present.
 
-    ``captures``: capture_key and run_id; ``objects``: capture_key and json. One pass over the records of each path.
+    ``captures``: capture_key and run_id; ``objects``: capture_key and json. One pass over the records of each path. What isn't in an array
+    is one record of a capture, however many parts the capture comes in, and has the keys of all of them.
     """
     spark = captures.sparkSession
     payloads = objects.join(captures.select("capture_key"), "capture_key", "left_semi")
     out = spark.createDataFrame([], "column_name string, records long, missing long")
     for path in dict.fromkeys(p for _, _, p in specs):
         of = [(c, k) for c, k, p in specs if p == path]
-        keys = records_at(payloads, path).select(F.json_object_keys("rec").alias("k"))
-        lacking = [F.count_if(~F.coalesce(F.array_contains("k", k), F.lit(False))).alias(f"m{i}") for i, (_, k) in enumerate(of)]
-        counts = keys.agg(F.count(F.lit(1)).alias("records"), *lacking)
+        keys = records_at(payloads, path, "capture_key").select("capture_key", F.json_object_keys("rec").alias("k"))
+        has = keys.select("capture_key", *[F.coalesce(F.array_contains("k", k), F.lit(False)).alias(f"h{i}") for i, (_, k) in enumerate(of)])
+        if "[*]" not in (path or "$"):
+            has = has.groupBy("capture_key").agg(*[F.bool_or(f"h{i}").alias(f"h{i}") for i in range(len(of))])
+        lacking = [F.count_if(~F.col(f"h{i}")).alias(f"m{i}") for i in range(len(of))]
+        counts = has.agg(F.count(F.lit(1)).alias("records"), *lacking)
         out = out.union(counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("records"), F.col(f"m{i}").alias("missing")) for i, (c, _) in enumerate(of)])).alias("r")).select("r.*"))
     run = captures.agg(F.min("run_id").alias("run_id"), F.count(F.lit(1)).alias("captures"))
     return out.crossJoin(F.broadcast(run)).select(F.lit(source).alias("source_name"), "column_name", "run_id", "captures", "records", "missing")  # one row of the run

@@ -3,6 +3,8 @@
 ``WORLD`` is SQL that both engines read; it says what the captures hold. The engine sees it as run manifests, a catalog and
 JSON texts alone; the SQL beside each query reads the same rows without JSON, admission code or windows of the engine. A month of orders is a
 run; customers are players and managers, nations teams, regions positions, suppliers fixtures, months periods and years seasons.
+
+What grows with the tables within one capture, manifest, catalog or panel comes in parts of ``PART`` ids at most, so that no row grows with the tables.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from capturemill.operators import asof, checks, presence
 from capturemill.plans import expectations, graph, served, staging, warehouse
 from capturemill.plans.catalogue import ORACLE_SQL, QUERIES, read
 
+#: A part holds what has ids of one range of so many.
+PART = 4096
+
 WORLD = {
     "base": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) AS y, month(o_orderdate) AS m, concat('r', cast(year(o_orderdate) * 100 + month(o_orderdate) AS string)) AS run_id FROM {orders}",
     "runs": "SELECT run_id, y, m, min(o_orderdate) + INTERVAL 1 HOUR AS started_at, CASE WHEN m = 6 THEN 'IN_PROGRESS' ELSE 'SUCCEEDED' END AS status, CASE WHEN m = 4 THEN NULL WHEN m = 5 THEN 'local' ELSE 'ci' END AS kind, CASE WHEN m = 7 THEN 'refs/heads/dev' WHEN m = 8 AND y = 1996 THEN NULL ELSE 'refs/heads/main' END AS ref FROM base GROUP BY run_id, y, m",
@@ -75,10 +80,14 @@ def _objects(spec: list[tuple]) -> str:
     return ", ".join(f"{sql} AS {field}" for field, _, sql, _ in spec)
 
 
-def _arrays(spark, sf_dir: str, spec: list[tuple], rows: str, name: str, key: str = "r.run_id") -> DataFrame:
-    """One array of objects for each key."""
-    each = _spark(spark, sf_dir, f"SELECT {key} AS k, {_objects(spec)} FROM {rows}")
-    return each.groupBy("k").agg(F.collect_list(F.struct(*[field for field, *_ in spec])).alias(name))
+def _part(of: str) -> str:
+    return f"{of} DIV {PART}"
+
+
+def _arrays(spark, sf_dir: str, spec: list[tuple], rows: str, name: str, key: str = "r.run_id", by: str = "0") -> DataFrame:
+    """One array of objects for each key and part of the ids ``by``."""
+    each = _spark(spark, sf_dir, f"SELECT {key} AS k, {_part(by)} AS part, {_objects(spec)} FROM {rows}")
+    return each.groupBy("k", "part").agg(F.collect_list(F.struct(*[field for field, *_ in spec])).alias(name)).drop("part")
 
 
 def _body(key, *fields: str):
@@ -87,12 +96,13 @@ def _body(key, *fields: str):
 
 def world(spark, sf_dir: str) -> staging.Sources:
     """What a build reads, from the driver's tables."""
-    boot = _arrays(spark, sf_dir, _ELEMENT, "elements", "elements", "run_id").join(_arrays(spark, sf_dir, _EVENT, _PAIRS, "events"), "k")
+    players = _spark(spark, sf_dir, "SELECT run_id AS k, count(*) AS total_players FROM elements GROUP BY run_id")
+    elements = _arrays(spark, sf_dir, _ELEMENT, "elements", "elements", "run_id", "o_custkey").join(F.broadcast(players), "k")
+    boot = _arrays(spark, sf_dir, _EVENT, _PAIRS, "events").join(F.broadcast(players), "k")  # a row for each run
     for spec, table, name in ((_TEAM, "nation", "teams"), (_POSITION, "region", "element_types")):
         few = _spark(spark, sf_dir, f"SELECT 1 AS k, {_objects(spec)} FROM {{{table}}}").groupBy("k").agg(F.collect_list(F.struct(*[f for f, *_ in spec])).alias(name)).drop("k")
         boot = boot.crossJoin(F.broadcast(few))  # one row
-    boot = boot.withColumn("total_players", F.size("elements"))
-    fixtures, status = _arrays(spark, sf_dir, _FIXTURE, _ROUND, "list"), _arrays(spark, sf_dir, _STATUS, _PAIRS, "status")
+    fixtures, status = _arrays(spark, sf_dir, _FIXTURE, _ROUND, "list", by="s_suppkey"), _arrays(spark, sf_dir, _STATUS, _PAIRS, "status")
     picks = _spark(spark, sf_dir, "SELECT concat('raw/fpl/entry-picks/', run_id, '/', cast(o_custkey AS string)) AS k, m, o_orderkey, o_totalprice, o_orderpriority FROM base")
     pick = F.struct(F.col("o_orderkey").alias("position"), (F.col("o_orderkey") % 600).alias("element"), (F.col("o_orderkey") % 3).alias("multiplier"), (F.col("o_orderkey") % 2 == 0).alias("is_captain"), (F.col("o_orderkey") % 2 == 1).alias("is_vice_captain"))
     most = F.max_by(F.col("o_orderpriority"), F.col("o_orderkey"))
@@ -102,21 +112,21 @@ def world(spark, sf_dir: str) -> staging.Sources:
     )
     past = _arrays(spark, sf_dir, _HISTORY, "base", "history", "concat('history/', cast(y AS string), '/fpl/element-summary/', cast(o_custkey AS string))")
     cap = "struct(capture_key AS key, endpoint, received_at, 'x' AS content_sha256, 1 AS content_length, 200 AS http_status, shape_ok, usable, season)"
-    found = _spark(spark, sf_dir, f"SELECT run_id, {cap} AS c FROM live UNION ALL SELECT run_id, {cap} AS c FROM picked").groupBy("run_id").agg(F.collect_list("c").alias("captures"))
+    found = _spark(spark, sf_dir, f"SELECT run_id, -1 AS part, {cap} AS c FROM live UNION ALL SELECT run_id, {_part('o_custkey')} AS part, {cap} AS c FROM picked").groupBy("run_id", "part").agg(F.collect_list("c").alias("captures")).drop("part")
     runs = _spark(spark, sf_dir, "SELECT run_id, y, m, started_at, status, kind, ref FROM runs").join(found, "run_id").select(
         "run_id", F.col("started_at").cast("date").cast("string").alias("extraction_date"), F.col("started_at").cast("string").alias("started_at"), F.col("started_at").cast("string").alias("ended_at"), "status", F.lit("schedule").alias("trigger"), F.lit("2").alias("raw_contract_version"),
         F.struct(F.col("kind").alias("kind"), F.col("ref").alias("ref"), F.lit("w").alias("workflow"), F.lit("1").alias("github_run_id"), F.lit(None).cast("string").alias("aws_principal")).alias("origin"), "captures",
     )
     old = "struct(capture_key AS key, endpoint, received_at, 'y' AS content_sha256, 2 AS content_length, 200 AS http_status, shape_ok, usable, season, 'revalidated' AS shape_source, 'v1' AS validator_version)"
-    catalog = _spark(spark, sf_dir, f"SELECT run_id, 'history' AS scope, {old} AS c FROM past").groupBy("run_id", "scope").agg(F.collect_list("c").alias("captures"))
-    panel = _spark(spark, sf_dir, "SELECT DISTINCT cast(y AS string) AS season, o_custkey AS entry_id FROM base").groupBy("season").agg(F.collect_list(F.struct("entry_id", F.when(F.col("entry_id") % 3 == 0, "top").otherwise("rest").alias("cohort"))).alias("entries"))
+    catalog = _spark(spark, sf_dir, f"SELECT run_id, 'history' AS scope, {_part('o_custkey')} AS part, {old} AS c FROM past").groupBy("run_id", "scope", "part").agg(F.collect_list("c").alias("captures")).drop("part")
+    panel = _spark(spark, sf_dir, f"SELECT DISTINCT cast(y AS string) AS season, o_custkey AS entry_id, {_part('o_custkey')} AS part FROM base").groupBy("season", "part").agg(F.collect_list(F.struct("entry_id", F.when(F.col("entry_id") % 3 == 0, "top").otherwise("rest").alias("cohort"))).alias("entries")).drop("part")
     markers = _spark(spark, sf_dir, "SELECT m AS event, 5 AS entries, CASE WHEN m = 12 THEN 'nowhere' ELSE run_id END AS run_id, started_at AS recorded_at FROM runs")
 
     def keyed(df, endpoint, *fields):
         return df.select(F.concat(F.lit(f"raw/fpl/{endpoint}/"), "k").alias("capture_key"), _body("k", *fields))
 
     payloads = {
-        "bootstrap_static": keyed(boot, "bootstrap-static", "elements", "events", "teams", "element_types", "total_players"), "event_status": keyed(status, "event-status", "status"),
+        "bootstrap_static": keyed(elements, "bootstrap-static", "elements", "total_players").union(keyed(boot, "bootstrap-static", "events", "teams", "element_types", "total_players")), "event_status": keyed(status, "event-status", "status"),
         "fixtures": fixtures.select(F.concat(F.lit("raw/fpl/fixtures/"), "k").alias("capture_key"), F.to_json("list").alias("body")),
         "element_summary": past.select(F.col("k").alias("capture_key"), _body("k", "history")), "entry_picks": picks.select(F.col("k").alias("capture_key"), _body("k", "entry_history", "active_chip", "picks", "automatic_subs")),
     }

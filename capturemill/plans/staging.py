@@ -2,6 +2,9 @@
 
 ``Sources`` holds what a build reads: run manifests, the backfill catalog, seeded origins and the payloads by capture key. A payload
 relation has ``capture_key, body`` (JSON text), whether read from files or at hand. Identity comes from the index; a path only gives the key.
+
+A capture that is too large for one text may come in parts: texts of one key that share its arrays' items among them, each whole JSON with the fields of the
+root that go with its items. Manifests, catalog and panels may come in parts too, each with the run's or season's fields and some of its array.
 """
 
 from __future__ import annotations
@@ -110,12 +113,12 @@ def sources_from_files(spark: SparkSession, reading: Reading, seeds: DataFrame)
 
 
 def stg_run(manifests: DataFrame) -> DataFrame:
-    """Finalised runs with their origin laid flat."""
+    """Finalised runs with their origin laid flat, each once in however many parts its manifest comes."""
     m = manifests.filter("status <> 'IN_PROGRESS'")
     return m.select(
         "run_id", F.col("extraction_date").cast("date").alias("extraction_date"), F.col("started_at").cast("timestamp_ntz").alias("run_started_at"), F.col("ended_at").cast("timestamp_ntz").alias("run_ended_at"),
         "status", "trigger", "raw_contract_version", *[F.col(f"origin.{c}").alias(f"origin_{c}") for c in ("kind", "ref", "workflow", "github_run_id", "aws_principal")],
-    )
+    ).distinct()
 
 
 @dataclass
