@@ -12,8 +12,8 @@ All that lies in a compressed stream maps to the whole run that holds it, so onl
 inflated in pieces, again for each look at it, and never held: its memory is bounded at any size, its time is in proportion to what it inflates to.
 
 Defined cases: null is the empty text. Empty texts have no spans. A run that doesn't decode to text (UTF-8 and
-printable, but for line ends and tabs) isn't a layer; nor are raw deflate streams, other compressions and encodings, or base64 of another alphabet. A run of over
-``PIECE`` characters is decoded at four alignments, each as a whole. Equal rows get equal spans. Spans found twice are listed once.
+printable, but for line ends and tabs) isn't a layer; nor are raw deflate streams, other compressions and encodings, or base64 of another alphabet. Base64 lines
+within a compressed stream's content are one run up to ``PIECE`` characters. Equal rows get equal spans. Spans found twice are listed once.
 """
 
 from __future__ import annotations
@@ -51,8 +51,11 @@ _HAS_ESCAPE = re.compile(rf"%[0-9A-Fa-f]{{2}}|{_CODE}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[\x20\t]*+\r?\n[\x20\t]*+)+[A-Za-z0-9+/_-]++={0,2}")
 #: UTF-8 text without controls but line ends and tabs; ASCII in UTF-16, either end first.
-_READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|\xc2[\xa0-\xbf]|[\xc3-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+")
+_SIGN = rb"(?:[\t\n\r\x20-\x7e]|\xc2[\xa0-\xbf]|[\xc3-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})"
+_READABLE = re.compile(_SIGN + rb"{12,}+")
 _WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){6,}+|(?:\x00[\t\n\r\x20-\x7e]){6,}+")
+#: One unit or more of these, with the most bytes behind a unit's first.
+_UNITS = [(re.compile(_SIGN + rb"++"), 3), (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00)++"), 1), (re.compile(rb"(?:\x00[\t\n\r\x20-\x7e])++"), 1)]
 _ALPHABET = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 #: Bytes or characters of a compressed stream's content that are looked at together, and the longest stretch of text that decides whether a base pattern matches, blanks as one.
@@ -322,17 +325,85 @@ def _with_end(pieces: Iterator[str]) -> Iterator[str]:
 
 
 def _run_kinds(source: Texts, a: int, b: int, held: list[str], path: frozenset[bytes]) -> set[int]:
-    """Kinds in a base64 run at ``a`` to ``b`` of a text; ``held`` is its text if it is short."""
+    """Kinds in a base64 run at ``a`` to ``b`` of a text; ``held`` is its text if it is short; a longer one is decoded in pieces, with the same result."""
     if b - a < 16:
         return set()
     if b - a <= PIECE:
         return {k for _, k, _ in all_spans("".join(held)[: b - a], outer=path)}
+    # What `_of_base64` does, in pieces.
     out: set[int] = set()
     for shift in range(4):
-        out |= byte_kinds(partial(_bytes_of, partial(_between, source, a + shift, b)), path) or set()
+        raw = partial(_bytes_of, partial(_between, source, a + shift, b))
+        _, whole, packed, _ = _examined(raw)
+        if whole:
+            return out | text_kinds(partial(_decoded, raw), path)
+        for i in [*([0] if packed else []), *_gzips(raw)]:
+            out |= byte_kinds(partial(_bytes_between, raw, i), path) or set()
+        for unit, tail in _UNITS:
+            for x, y, held_bytes in _runs(raw, unit, tail):
+                got = partial(_bytes_between, raw, x, y) if held_bytes is None else partial(iter, (held_bytes,))
+                if y - x >= 12 and (tail == 1 or y - x >= 48 or len(held_bytes.decode()) >= 12):
+                    out |= text_kinds(partial(_decoded, partial(_narrow, got) if tail == 1 else got), path)
+    at, near = a, ""
+    for t in _between(source, a, b):
+        near += t
+        for m in re.finditer("[/_+-](?=(.{4}))", near):
+            if (head := _unbase64(m[1])) and _packed(head):
+                out |= byte_kinds(partial(_bytes_of, partial(_between, source, at + m.end(), b)), path) or set()
+        at, near = at + max(0, len(near) - 4), near[-4:]
     return out
 
 
+def _bytes_between(source: Bytes, a: int, b: int | None = None) -> Iterator[bytes]:
+    at = 0
+    for raw in source():
+        if at + len(raw) > a:
+            yield raw[max(0, a - at) : b and b - at]
+        at += len(raw)
+        if b is not None and at >= b:
+            return
+
+
+def _narrow(source: Bytes) -> Iterator[bytes]:
+    for raw in source():
+        yield raw.replace(b"\0", b"")
+
+
+def _gzips(source: Bytes) -> Iterator[int]:
+    """Where gzip streams may begin behind the first byte."""
+    at, near = 0, b""
+    for raw in source():
+        near += raw
+        yield from (at + m.start() for m in re.finditer(b"\x1f\x8b\x08", near) if at + m.start())
+        at, near = at + max(0, len(near) - 2), near[-2:]
+
+
+def _runs(source: Bytes, unit: re.Pattern[bytes], tail: int) -> Iterator[tuple[int, int, bytes | None]]:
+    """The places of all longest runs of ``unit``, which has up to ``tail`` bytes behind its first, and the bytes of those that aren't longer than PIECE."""
+    at, left, begun, own = 0, b"", None, b""
+    for raw in _with_last(source()):
+        left, pos = left + (raw or b""), 0
+        while True:
+            m = unit.search(left, pos) if begun is None else unit.match(left, pos)
+            if begun is None and m is None:
+                pos = max(pos, len(left) - tail)
+                break
+            begun = at + m.start() if begun is None else begun
+            end = m.end() if m else pos
+            own = own + left[m.start() : end] if m and len(own) <= PIECE else own
+            pos = end
+            if raw is not None and end >= len(left) - tail:  # it may go on
+                break
+            yield begun, at + end, own if len(own) <= PIECE else None
+            begun, own = None, b""
+        at, left = at + pos, left[pos:]
+
+
+def _with_last(pieces: Iterator[bytes]) -> Iterator[bytes | None]:
+    yield from pieces
+    yield None
+
+
 # --- texts in memory ------------------------------------------------------------------------------------
 
 

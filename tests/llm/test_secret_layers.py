@@ -137,3 +137,19 @@ def test_letters_alone_may_be_base64():
     assert secrets.all_spans(words) == []
     assert secrets.all_spans("\\ud83d\\ude00" * 3 + " plain") == []
     assert secrets._escapes("\\ud83d\\ude00\\ud83d")[0] == "😀�" and list(secrets._escapes("a\\ud83d\\ude00")[2]) == [1, 13]
+
+
+@pytest.mark.parametrize("piece", [200, 333, 1000])
+def test_a_long_run_is_decoded_like_a_short_one(piece, monkeypatch):
+    """Readable stretches, UTF-16 and streams inside of a base64 run in a compressed stream are found at any size of the run."""
+    rng = random.Random(7)
+    noise = lambda n: bytes(rng.choice(b"\x00\x81\x9f\xff\xfe\xc0") for _ in range(n))
+    wide, packed = KEY.encode("utf-16-le"), gzip.compress(KEY.encode())
+    inner = [noise(900) + KEY.encode() + noise(900), noise(901) + wide + noise(902), noise(900) + KEY.encode("utf-16-be") + noise(900), noise(900) + packed, noise(999) + ("é" * 600 + KEY).encode() + noise(999), noise(950) + b"short" + noise(950)]
+    texts = ["a" * k + b64(x) for x in inner for k in (0, 1, 2, 3)] + ["ab" * 500 + "/" + b64(packed), "x" * 501 + "_" + b64(zlib.compress(HEXKEY.encode()))]
+    want = [{k for _, k, _ in secrets.all_spans(t)} for t in texts]
+    assert sum(map(bool, want)) == 22
+    monkeypatch.setattr(secrets, "PIECE", piece)
+    for t, kinds in zip(texts, want, strict=True):
+        got = secrets.byte_kinds(lambda t=t: iter([gzip.compress(t.encode())]), frozenset())
+        assert got == kinds, (piece, t[:40])
