@@ -20,13 +20,15 @@ def as_of(requests: DataFrame, relation: DataFrame, moment: str, time: str, keys
     """
     payload = F.struct(F.col(time).alias("_t"), *[F.col(c).alias(f"_c_{c}") for c in columns])
     names = [f"_k{i}" for i in range(len(keys))]
-    left = requests.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(moment).alias("_at"), F.lit(0).alias("_side"), F.struct(*requests.columns).alias("_row"))
+    kinds, theirs = dict(requests.dtypes), dict(relation.dtypes)
+    held = {k: n for k, n in zip(keys, names, strict=True) if kinds[k] == theirs[k]} | ({moment: "_at"} if kinds[moment] == theirs[time] else {})  # not in the row a second time
+    left = requests.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(moment).alias("_at"), F.lit(0).alias("_side"), F.struct(F.lit(0).alias("_n"), *[c for c in requests.columns if c not in held]).alias("_row"))
     right = relation.filter(F.col(time).isNotNull()).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(time).alias("_at"), F.lit(1).alias("_side"), payload.alias("_hit")).dropna(subset=names)
     ok = F.col("_at").isNotNull()
     for n in names:
         ok = ok & F.col(n).isNotNull()
     line = Timeline(left.unionByName(right, allowMissingColumns=True), names, "_at", share, least)
-    spread = F.when(ok, 0).otherwise(F.xxhash64("_row"))
+    spread = F.when(ok, 0).otherwise(F.xxhash64("_row", "_at", *names))
     w = Window.partitionBy(*line.by, spread).orderBy(F.asc_nulls_first("_at"), "_side", "_hit").rowsBetween(Window.unboundedPreceding, -1)
     last = F.last("_hit", ignorenulls=True).over(w)
     if line.cut:
@@ -37,7 +39,7 @@ def as_of(requests: DataFrame, relation: DataFrame, moment: str, time: str, keys
         found = line.rows.withColumn("_last", last).filter("_side = 0")
     if max_age is not None:
         ok = ok & (F.col("_last._t") >= F.col("_at") - max_age)
-    return found.select("_row.*", *[F.when(ok, F.col(f"_last._c_{c}")).alias(c) for c in columns])
+    return found.select(*[F.col(held.get(c, f"_row.`{c}`")).alias(c) for c in requests.columns], *[F.when(ok, F.col(f"_last._c_{c}")).alias(c) for c in columns])
 
 
 def as_of_small(requests: DataFrame, relation: DataFrame, moment: str, time: str, keys: list[str], columns: list[str], request_key: list[str]) -> DataFrame:

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .asof import as_of
-from .timeline import LEAST, SHARE, Timeline
+from .timeline import LEAST, SHARE, SMALL, Timeline, forget_counted, input_bytes
+
+#: Different requests for a count, up to so many, are counted once each and joined to all requests by broadcast.
+FEW = 100_000
 
 
 def spine(entities: DataFrame, periods: DataFrame, season: list[str]) -> DataFrame:
@@ -32,6 +35,7 @@ def count_at_moment(requests: DataFrame, groups: DataFrame, schedule: DataFrame,
     ``requests``: season, entity, period, moment. ``groups``: season, entity, group, valid_from, valid_to. ``schedule``: season, period, sides,
     valid_from, valid_to of each item's history. An opening adds one to each of its sides in its period, a closing takes it away, and one ordered
     pass by season, period and group sums them up to each request: linear in the history and the requests, which never meet item by item.
+    What is asked is the same for all entities of a group; if large inputs ask for up to ``FEW`` different things (counted first), those alone are shuffled.
     Null where the entity's group wasn't known; 0 where the schedule was known but had no item for it; requests from before a
     season's first schedule are left out.
     """
@@ -42,6 +46,23 @@ def count_at_moment(requests: DataFrame, groups: DataFrame, schedule: DataFrame,
     turns = F.array(F.struct(F.col("valid_from").alias("_at"), F.lit(1).alias("_by")), F.struct(F.col("valid_to").alias("_at"), F.lit(-1).alias("_by")))
     changes = schedule.select(season, period, F.explode(F.array(*sides)).alias(group), "valid_from", "valid_to").dropna(subset=[season, period, group])
     changes = changes.select(season, period, group, F.inline(turns)).dropna(subset="_at").withColumn("_side", F.lit(1))
+    wanted = [season, period, group, moment]
+    if share and input_bytes(mine) > SMALL:
+        different = mine.select(*wanted).distinct()
+        few = different.limit(FEW + 1).count() <= FEW
+        forget_counted(mine)
+        if few:
+            each = _counted(different, changes, wanted, share, least).select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(wanted)], "n_at_moment")
+            same = F.lit(True)
+            for i, c in enumerate(wanted):
+                same = same & F.col(c).eqNullSafe(F.col(f"_w{i}"))
+            return mine.join(F.broadcast(each), same, "left").select(*mine.columns, "n_at_moment")
+    return _counted(mine, changes, wanted, share, least)
+
+
+def _counted(mine: DataFrame, changes: DataFrame, wanted: list[str], share: int, least: int) -> DataFrame:
+    """Requests with the sum of the changes before their moment, by season, period and group."""
+    season, period, group, moment = wanted
     asked = mine.select(season, period, group, F.col(moment).alias("_at"), F.lit(0).alias("_side"), F.struct(*mine.columns).alias("_row"))
     line = Timeline(asked.unionByName(changes, allowMissingColumns=True), [season, period, group], "_at", share, least)
     spread = F.when(F.col(group).isNull(), F.xxhash64("_row"))

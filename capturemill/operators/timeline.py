@@ -10,6 +10,7 @@ Rows of one key at one instant share a slice, whatever their number. Nulls in ``
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,12 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def forget_counted(df: DataFrame) -> None:
+    """Let the driver collect a finished count of ``df``, so that its shuffles leave the disks before the work itself begins."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 class Timeline:
     """``rows`` with the columns ``by`` to partition windows by; ``cut`` tells whether any key is hot.
 
@@ -42,6 +49,8 @@ class Timeline:
             return
         counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         found = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
+        if input_bytes(rows) > SMALL:
+            forget_counted(rows)
         if not found.total or found.most * share <= found.total or found.most <= least:
             return
         hot = counts.filter((F.col("_rows") > found.total / share) & (F.col("_rows") > least)).select(*keys)

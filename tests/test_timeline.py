@@ -151,3 +151,16 @@ def test_latest_is_cut_down_before_the_shuffle(spark):
     assert got.collect()[0].t == 59_999
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_equal_requests_for_a_count_are_counted_once(spark, monkeypatch):
+    """Large inputs that ask for few different things give what others give, and shuffle those alone."""
+    groups = spark.createDataFrame([(1, e, e % 3 if e % 7 else None, e % 5, None) for e in range(60)], "season int, entity int, team int, valid_from int, valid_to int")
+    items = spark.createDataFrame([(1, p, p % 3, (p + 1) % 3, f, f + 3 if f % 2 else None) for p in range(4) for f in range(6)], "season int, period int, home int, away int, valid_from int, valid_to int")
+    asked = spark.createDataFrame([(1, e, p, at) for e in range(70) for p in (0, 1, 9) for at in (2, 4, 8)], "season int, entity int, period int, at int")
+    got = []
+    for small in (spine.SMALL, -1):
+        monkeypatch.setattr(spine, "SMALL", small)
+        df = spine.count_at_moment(asked, groups, items, "season", "at", "entity", "team", "period", ["home", "away"])
+        got.append((sorted(map(tuple, df.collect()), key=str), "BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString()))
+    assert got[0][0] == got[1][0] and len(got[0][0]) == 630 and got[1][1] and any(r[-1] for r in got[0][0])
