@@ -402,7 +402,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
         joined = e.join(least, e["a"] == least["u"])
         e = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
-        e = checkpointed(e)
+        e = released(checkpointed(e))  # a round's plans and shuffles aren't needed in the next
         # Edges are distinct, and their set is told by its size and the sums of two hashes of each edge.
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a", F.lit(1)).cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
