@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, gram_hashes, mix, released, small_batches, text_bytes, trimmed, word_hashes, written
+from .common import checkpointed, give_back, gram_hashes, mix, released, small_batches, text_bytes, trimmed, word_hashes, written
 
 BROADCAST_IDS = 2_000_000
 #: Sets in a list whose pairs are all made at once, and prefix places that a match must share.
@@ -112,6 +112,15 @@ def _sampled(n: int):
     return run
 
 
+def _by_token(often: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in their order, and their counts, as two arrays; no row of them is an object on the driver."""
+    got = often.toArrow()
+    token, c = (np.asarray(got.column(x)).astype(np.int64) for x in ("token", "c"))
+    token = token.view(np.uint64)
+    order = np.argsort(token)
+    return token[order], c[order]
+
+
 def prefix_order(s: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The set with rare shingles first; ``frequent`` has sorted hashes and their counts."""
     tokens, counts = frequent
@@ -482,20 +491,20 @@ def _linked(classes: DataFrame, comp: DataFrame, links: DataFrame, sets: DataFra
     """``sid, comp, n_links`` of every set: the number of documents that link with each of its documents."""
     own = checkpointed(classes.filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("w")))
     degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count(F.lit(1)).alias("rank"))
-    nodes = comp.join(own, comp["node"] == own["sid"]).join(degree, comp["node"] == degree["s"]).select("sid", "comp", "n", "w", "rank")
+    nodes = released(checkpointed(comp.join(own, comp["node"] == own["sid"]).join(degree, comp["node"] == degree["s"]).select("sid", "comp", "n", "w", "rank")))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / LINK_SETS), F.ceil(F.sum("n") / LINK_SHINGLES)).cast("int")
     groups = nodes.groupBy("comp").agg(F.max_by("sid", F.struct("rank", "sid")).alias("lead"), blocks.alias("blocks"))
     nodes = nodes.join(groups, "comp").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    members = written(sets.dropDuplicates(["sid"]).join(nodes, "sid").drop("rank"))
+    members = released(written(sets.dropDuplicates(["sid"]).join(nodes, "sid").drop("rank")))
     # A leader meets each block of its component apart, so that a large component is no single key.
     leads = members.filter("sid = lead").select("comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), F.col("s").alias("r"))
     told = members.join(leads, ["comp", "own"]).withColumn("d", F.concat(F.array_except("s", "r"), F.array_except("r", "s")))
     told = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("own", "other"), F.greatest("own", "other")
     told = told.select(F.xxhash64("comp", lo, hi).alias("key"), "sid", "n", "w", "own", "other", "d").repartition("key").sortWithinPartitions("key")
-    counts = told.mapInArrow(trimmed(_group_counts(percent)), "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links"))
+    counts = released(checkpointed(told.mapInArrow(trimmed(_group_counts(percent)), "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links"))))
     found = own.join(comp, own["sid"] == comp["node"], "left").join(counts, "sid", "left")
-    return checkpointed(found.select("sid", "comp", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    return released(checkpointed(found.select("sid", "comp", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int, seen: list[DataFrame]) -> DataFrame:
@@ -537,9 +546,10 @@ def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, m
     reps = classes.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     # The order of shingles: what a sample of texts has often comes last.
     some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0).select("text")
-    often = some.mapInArrow(trimmed(_sampled(n)), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c >= 3").orderBy(F.desc("c"), "token").limit(most_frequent).collect()
-    often.sort(key=lambda r: r.token & ((1 << 64) - 1))
-    frequent = (np.array([r.token for r in often], dtype=np.int64).view(np.uint64), np.array([r.c for r in often], dtype=np.int64))
+    often = some.mapInArrow(trimmed(_sampled(n)), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c >= 3").orderBy(F.desc("c"), "token").limit(most_frequent)
+    frequent = _by_token(often)
+    del often
+    give_back()
     index = rows.select("text").mapInArrow(trimmed(_index(spark.sparkContext.broadcast(frequent), n, percent, sample, split)), "key long, token long, sid long, n int, pos int")
     lists = released(written(index.repartition("key").sortWithinPartitions("key", "n", "sid").mapInArrow(trimmed(_lists(percent)), KIND)))
     del index

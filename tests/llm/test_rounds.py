@@ -8,3 +8,18 @@ def test_each_round_of_components_is_released(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "released", lambda df: rounds.append(1) or released(df))
     edges = spark.createDataFrame([(i, i + 1) for i in range(8)], "a long, b long")
     assert {tuple(r) for r in jaccard.components(edges).collect()} == {(i, 0) for i in range(9)} and len(rounds) > 1
+
+
+def test_frequent_shingles_come_as_arrays_in_unsigned_order(spark):
+    often = spark.createDataFrame([(-1, 5), (3, 7), (2, 7)], "token long, c long")
+    tokens, counts = jaccard._by_token(often)
+    assert tokens.tolist() == [2, 3, 2**64 - 1] and counts.tolist() == [7, 7, 5]
+    assert [len(x) for x in jaccard._by_token(often.limit(0))] == [0, 0]
+
+
+def test_counting_links_releases_its_steps(spark, monkeypatch):
+    steps, released = [], jaccard.released
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i // 2}") for i in range(6)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "released", lambda df: steps.append(set(df.columns)) or released(df))
+    assert {r.n_links for r in jaccard.similar_components(docs, percent=50).collect()} == {5}
+    assert [s for s in steps if "rank" in s] and {"sid", "links"} in steps and {"sid", "comp", "n_links"} in steps
