@@ -84,10 +84,15 @@ def _part(of: str) -> str:
     return f"{of} DIV {PART}"
 
 
+def _gathered(rows: DataFrame, *keys: str):
+    """Rows grouped where they meet: a task that reads the tables has rows of very many keys, and would hold and sort all of them as lists."""
+    return rows.repartition(*keys).groupBy(*keys)
+
+
 def _arrays(spark, sf_dir: str, spec: list[tuple], rows: str, name: str, key: str = "r.run_id", by: str = "0") -> DataFrame:
     """One array of objects for each key and part of the ids ``by``."""
     each = _spark(spark, sf_dir, f"SELECT {key} AS k, {_part(by)} AS part, {_objects(spec)} FROM {rows}")
-    return each.groupBy("k", "part").agg(F.collect_list(F.struct(*[field for field, *_ in spec])).alias(name)).drop("part")
+    return _gathered(each, "k", "part").agg(F.collect_list(F.struct(*[field for field, *_ in spec])).alias(name)).drop("part")
 
 
 def _body(key, *fields: str):
@@ -106,20 +111,20 @@ def world(spark, sf_dir: str) -> staging.Sources:
     picks = _spark(spark, sf_dir, "SELECT concat('raw/fpl/entry-picks/', run_id, '/', cast(o_custkey AS string)) AS k, m, o_orderkey, o_totalprice, o_orderpriority FROM base")
     pick = F.struct(F.col("o_orderkey").alias("position"), (F.col("o_orderkey") % 600).alias("element"), (F.col("o_orderkey") % 3).alias("multiplier"), (F.col("o_orderkey") % 2 == 0).alias("is_captain"), (F.col("o_orderkey") % 2 == 1).alias("is_vice_captain"))
     most = F.max_by(F.col("o_orderpriority"), F.col("o_orderkey"))
-    picks = picks.groupBy("k").agg(
+    picks = _gathered(picks, "k").agg(
         F.struct(F.first("m").alias("event"), F.sum(F.col("o_orderkey") % 50).alias("points"), F.count(F.lit(1)).alias("event_transfers"), (F.count(F.lit(1)) * 4).alias("event_transfers_cost"), F.min(F.col("o_orderkey") % 9).alias("overall_rank")).alias("entry_history"),
         F.when(most == "1-URGENT", F.lit(None)).otherwise(most).alias("active_chip"), F.collect_list(pick).alias("picks"), F.collect_list(F.struct((F.col("o_orderkey") % 600).alias("element_out"), (F.col("o_orderkey") % 500).alias("element_in"))).alias("automatic_subs"),
     )
     past = _arrays(spark, sf_dir, _HISTORY, "base", "history", "concat('history/', cast(y AS string), '/fpl/element-summary/', cast(o_custkey AS string))")
     cap = "struct(capture_key AS key, endpoint, received_at, 'x' AS content_sha256, 1 AS content_length, 200 AS http_status, shape_ok, usable, season)"
-    found = _spark(spark, sf_dir, f"SELECT run_id, -1 AS part, {cap} AS c FROM live UNION ALL SELECT run_id, {_part('o_custkey')} AS part, {cap} AS c FROM picked").groupBy("run_id", "part").agg(F.collect_list("c").alias("captures")).drop("part")
+    found = _gathered(_spark(spark, sf_dir, f"SELECT run_id, -1 AS part, {cap} AS c FROM live UNION ALL SELECT run_id, {_part('o_custkey')} AS part, {cap} AS c FROM picked"), "run_id", "part").agg(F.collect_list("c").alias("captures")).drop("part")
     runs = _spark(spark, sf_dir, "SELECT run_id, y, m, started_at, status, kind, ref FROM runs").join(found, "run_id").select(
         "run_id", F.col("started_at").cast("date").cast("string").alias("extraction_date"), F.col("started_at").cast("string").alias("started_at"), F.col("started_at").cast("string").alias("ended_at"), "status", F.lit("schedule").alias("trigger"), F.lit("2").alias("raw_contract_version"),
         F.struct(F.col("kind").alias("kind"), F.col("ref").alias("ref"), F.lit("w").alias("workflow"), F.lit("1").alias("github_run_id"), F.lit(None).cast("string").alias("aws_principal")).alias("origin"), "captures",
     )
     old = "struct(capture_key AS key, endpoint, received_at, 'y' AS content_sha256, 2 AS content_length, 200 AS http_status, shape_ok, usable, season, 'revalidated' AS shape_source, 'v1' AS validator_version)"
-    catalog = _spark(spark, sf_dir, f"SELECT run_id, 'history' AS scope, {_part('o_custkey')} AS part, {old} AS c FROM past").groupBy("run_id", "scope", "part").agg(F.collect_list("c").alias("captures")).drop("part")
-    panel = _spark(spark, sf_dir, f"SELECT DISTINCT cast(y AS string) AS season, o_custkey AS entry_id, {_part('o_custkey')} AS part FROM base").groupBy("season", "part").agg(F.collect_list(F.struct("entry_id", F.when(F.col("entry_id") % 3 == 0, "top").otherwise("rest").alias("cohort"))).alias("entries")).drop("part")
+    catalog = _gathered(_spark(spark, sf_dir, f"SELECT run_id, 'history' AS scope, {_part('o_custkey')} AS part, {old} AS c FROM past"), "run_id", "scope", "part").agg(F.collect_list("c").alias("captures")).drop("part")
+    panel = _gathered(_spark(spark, sf_dir, f"SELECT DISTINCT cast(y AS string) AS season, o_custkey AS entry_id, {_part('o_custkey')} AS part FROM base"), "season", "part").agg(F.collect_list(F.struct("entry_id", F.when(F.col("entry_id") % 3 == 0, "top").otherwise("rest").alias("cohort"))).alias("entries")).drop("part")
     markers = _spark(spark, sf_dir, "SELECT m AS event, 5 AS entries, CASE WHEN m = 12 THEN 'nowhere' ELSE run_id END AS run_id, started_at AS recorded_at FROM runs")
 
     def keyed(df, endpoint, *fields):

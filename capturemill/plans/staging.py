@@ -142,17 +142,20 @@ class Sources:
     def run(self) -> DataFrame:
         return stg_run(self.manifests)
 
+    def _marked(self, *more: str) -> DataFrame:
+        """The index with each capture's admission. Runs and seeds have a row for each run and are broadcast, so that no task gets all captures of a run."""
+        kept = ["capture_key", "run_id", "season", "usable", "shape_ok", "shape_source", *more]
+        return admit(self.index.select(*kept), F.broadcast(self.run), F.broadcast(self.seeds))
+
     @cached_property
     def admission(self) -> DataFrame:
-        kept = ["capture_key", "run_id", "season", "usable", "shape_ok", "shape_source"]
-        return admit(self.index.select(*kept), self.run, self.seeds).select("capture_key", "run_id", "season", "admitted", "flagged_revalidation", "unadmitted_reason")
+        return self._marked().select("capture_key", "run_id", "season", "admitted", "flagged_revalidation", "unadmitted_reason")
 
     @cached_property
     def admitted(self) -> DataFrame:
-        """Admitted captures with the day and the second of their run, or of the capture itself."""
-        ok = self.admission.filter("admitted").select("capture_key")
+        """Admitted captures with the day and the second of their run, or of the capture itself, by one pass over the index."""
         runs = self.run.select("run_id", F.col("extraction_date").alias("_day"), F.col("run_started_at").alias("_started"))
-        j = self.index.join(ok, "capture_key").join(runs, "run_id", "left")
+        j = self._marked("received_at", "endpoint", "scope").filter("admitted").join(F.broadcast(runs), "run_id", "left")
         return j.select(
             "capture_key", "season", "run_id", F.coalesce("_day", F.col("received_at").cast("date")).alias("extraction_date"),
             F.date_trunc("second", F.coalesce("_started", "received_at")).cast("timestamp_ntz").alias("extracted_at"), F.col("received_at").alias("observed_at"), "endpoint", "scope",

@@ -39,3 +39,25 @@ def test_a_capture_in_parts_is_one_record_at_its_root(spark):
     specs = presence.consumed_key_specs({"n": {}, "m": {}, "gone": {}, "l.k": {"record_path": "$.l[*]"}})
     got = presence.source_key_presence("s", specs, captures, objects)
     assert sorted((r.column_name, r.records, r.missing) for r in got.collect()) == [("gone", 1, 1), ("l.k", 3, 1), ("m", 1, 0), ("n", 1, 0)]
+
+
+def test_lists_are_made_where_their_rows_meet(spark):
+    s = relations.world(spark, SF)
+    for df in (s.manifests, s.catalog, s.panel, s.payloads["entry_picks"], s.payloads["element_summary"]):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        last = max(i for i, line in enumerate(plan.splitlines()) if "ObjectHashAggregate" in line)
+        assert "REPARTITION_BY_COL" in "".join(plan.splitlines()[last:][:4])
+
+
+def test_admission_shuffles_no_capture(spark):
+    head = ("1", "r1", "2024-01-01", "SUCCEEDED", "2024-01-01 00:00:00", "2024-01-01 00:00:00", "t", ("ci", "w", "refs/heads/main", "1", None))
+    m = spark.createDataFrame([(*head, [(k, "e", "2024-01-01 00:00:00", "x", 1, 200, True, True, "s")]) for k in ("a", "b")], staging.MANIFESTS)
+    seeds = spark.createDataFrame([], "run_id string, origin_kind string")
+    s = staging.Sources(m, spark.createDataFrame([], staging.CATALOG), seeds, {}, m, m)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in s.admitted._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.capture_key for r in s.admitted.collect()) == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
