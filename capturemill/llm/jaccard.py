@@ -398,11 +398,10 @@ def _sets(n: int):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, comp`` (least node of the component) of every node of ``edges`` (a, b), by alternating large and small stars until the edges stay the same."""
+    """``node, comp`` (least node of the component) of every node of ``edges`` (a, b), by alternating large and small stars until each component is one star."""
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     e = checkpointed(e)
-    before = None
-    while True:
+    while not _stars(e):
         # Large star: a node's larger neighbours are joined to its least neighbour.
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
@@ -412,15 +411,30 @@ def components(edges: DataFrame) -> DataFrame:
         joined = e.join(least, e["a"] == least["u"])
         e = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
         e = released(checkpointed(e))  # a round's plans and shuffles aren't needed in the next
-        # Edges are distinct, and their set is told by its size and the sums of two hashes of each edge.
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a", F.lit(1)).cast("decimal(38,0)"))).first()
-        if now == before or now[0] == 0:
-            break
-        before = now
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether each larger end of ``e`` (a > b) has one edge and is no smaller end: then the least nodes are the centres of stars, which rounds leave as they are."""
+    ends = e.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.agg(F.coalesce(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))), F.lit(False)).alias("bad")).first().bad
+
+
+def more_components(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of the edges behind ``comp`` and ``links`` together: whole components are the nodes that the new links join, so known ones aren't found again."""
+    a, b = (comp.select(F.col("node").alias(f"_{x}"), F.col("comp").alias(f"_c{x}")) for x in "ab")
+    ends = links.join(a, F.col("a") == F.col("_a"), "left").join(b, F.col("b") == F.col("_b"), "left")
+    between = checkpointed(ends.select(F.coalesce("_ca", "a").alias("a"), F.coalesce("_cb", "b").alias("b")).filter("a <> b").distinct())
+    if between.isEmpty():
+        return comp
+    over = components(between).select(F.col("node").alias("_of"), F.col("comp").alias("_least"))
+    known = comp.join(over, comp["comp"] == over["_of"], "left").select("node", F.coalesce("_least", "comp").alias("comp"))
+    new = over.join(comp, over["_of"] == comp["node"], "left_anti").select(F.col("_of").alias("node"), F.col("_least").alias("comp"))
+    return known.unionByName(new)
+
+
 def _difference_groups(batches):
     """Rows of equal keys (the first of six number columns) from a partition sorted by key: the other columns, and the differences' lengths and shingles."""
 
@@ -557,11 +571,9 @@ def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, m
     long = lists.filter("kind = 0").select(F.col("x").alias("token"), F.col("y").alias("sid"), F.col("n1").alias("n"), F.col("p1").alias("pos"))
     pairs = checkpointed(_worth(short, percent).unionByName(_worth(lists.filter("kind = 2"), percent, 3)).distinct())
     sets: list[DataFrame] = []
-    done, links, comp = pairs, checkpointed(_verified(pairs, rows, reps, n, percent, sets)), None
-    for step in ("linked leaders", "all"):
-        comp = checkpointed(components(links))
-        if long.isEmpty():
-            break
+    done, links = pairs, checkpointed(_verified(pairs, rows, reps, n, percent, sets))
+    comp = checkpointed(components(links))
+    for step in () if long.isEmpty() else ("linked leaders", "all"):
         degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count(F.lit(1)).cast("double").alias("rank"))
         known = checkpointed(comp.join(degree, comp["node"] == degree["s"]).select("node", "comp", "rank"))
         now = long.join(known, long["sid"] == known["node"], "left").select("token", "sid", "n", "pos", F.coalesce("comp", "sid").alias("comp"), F.coalesce("rank", F.lit(0.0)).alias("rank"))
@@ -590,10 +602,8 @@ def _grouped(docs: DataFrame, n: int = 5, percent: int = 75, sample: int = 32, m
         pairs = checkpointed(found.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
-            links = released(checkpointed(links.unionByName(_verified(pairs, rows, reps, n, percent, sets))))
-            comp = None
-    if comp is None:
-        comp = checkpointed(components(links))
+            new = checkpointed(_verified(pairs, rows, reps, n, percent, sets))
+            links, comp = links.unionByName(new), released(checkpointed(more_components(comp, new)))
     if not count_links:
         return classes.join(comp, classes["sid"] == comp["node"], "left").select("doc_id", "n", F.coalesce("comp", "sid").alias("group"), "row")
     told = _linked(classes, comp, links, reduce(DataFrame.union, sets), percent)

@@ -1,5 +1,7 @@
 """Rounds over growing edges."""
 
+import random
+
 from capturemill.llm import jaccard
 
 
@@ -23,3 +25,19 @@ def test_counting_links_releases_its_steps(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "released", lambda df: steps.append(set(df.columns)) or released(df))
     assert {r.n_links for r in jaccard.similar_components(docs, percent=50).collect()} == {5}
     assert [s for s in steps if "rank" in s] and {"sid", "links"} in steps and {"sid", "comp", "n_links"} in steps
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(jaccard, "released", lambda df: rounds.append(1) or df)
+    edges = spark.createDataFrame([(0, i) for i in range(1, 6)] + [(9, 7)], "a long, b long")
+    assert {tuple(r) for r in jaccard.components(edges).collect()} == {(i, 0) for i in range(6)} | {(7, 7), (9, 7)} and not rounds
+
+
+def test_more_links_join_known_components(spark):
+    rng = random.Random(5)
+    for first, more in ((0, 9), (30, 0), (25, 12), (12, 40)):
+        known, new = ([tuple(rng.sample(range(60), 2)) for _ in range(n)] for n in (first, more))
+        frames = [spark.createDataFrame(x, "a long, b long") for x in (known, new, known + new)]
+        got = jaccard.more_components(jaccard.components(frames[0]), frames[1])
+        assert sorted(got.collect()) == sorted(jaccard.components(frames[2]).collect())
