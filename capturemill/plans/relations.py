@@ -280,6 +280,11 @@ def fct_player_market_snapshot(s):
     return served.fct_player_market_snapshot(s.player)
 
 
+def _built(s: staging.Sources, name: str, settled: served.Settled = served.Settled(), **others: graph.Node) -> DataFrame:
+    """A relation by a build of all that it is made of, each once; ``others`` take the place of the warehouse's relations of their names."""
+    return graph.relation_of(s.manifests.sparkSession, warehouse.nodes(s, settled) | others, name)
+
+
 @relation("dim_gameweek", _sql(f"""SELECT d.season, d.gameweek, d.deadline_time, CASE WHEN passed THEN before END AS last_capture_before_deadline_at, CASE WHEN passed THEN date_diff('second', before, d.deadline_time) END::INTEGER AS state_age_seconds, CASE WHEN s.is_ratified THEN d.ranked_count END AS ranked_count
     FROM (SELECT g.*, (SELECT max(observed_at) FROM gameweek c WHERE c.season = g.season) >= g.deadline_time AS passed, (SELECT max(observed_at) FROM gameweek c WHERE c.season = g.season AND c.observed_at < g.deadline_time) AS before FROM (SELECT * FROM gameweek QUALIFY row_number() OVER (PARTITION BY season, gameweek {_NEW}) = 1) g) d
     LEFT JOIN (SELECT season, gameweek, coalesce(bool_or(a), false) AS is_ratified FROM (SELECT season, gameweek, run_id, bool_and(points = 'r' AND bonus_added) AS a FROM gameweek_status GROUP BY ALL) GROUP BY ALL) s USING (season, gameweek)""", _with("gameweek", "gameweek_status")))
@@ -362,11 +367,6 @@ _WEEKS = f"""{_BEST}, facts AS (SELECT b.*, coalesce(s.is_ratified, false) AS is
         FROM spine s LEFT JOIN summed f ON f.season = s.season AND f.fpl_id = s.fpl_id AND f.gameweek = s.gameweek LEFT JOIN asked a ON a.season = s.season AND a.fpl_id = s.fpl_id AND a.gameweek = s.gameweek)"""
 
 
-def _built(s: staging.Sources, name: str) -> DataFrame:
-    """A relation by a build of all that it is made of, each once."""
-    return graph.relation_of(s.manifests.sparkSession, warehouse.nodes(s), name)
-
-
 @relation("fct_player_gameweek", _sql("SELECT * FROM weeks", _with("player", "gameweek", "gameweek_status", "fixture", "player_fixture") + ", " + _WEEKS))
 def fct_player_gameweek(s):
     """Players by finished period, with the fixtures that their team had at the deadline."""
@@ -485,7 +485,7 @@ SETTLED = served.Settled(("1995",), "1996", datetime.datetime(1996, 6, 1))
     FROM best b LEFT JOIN """ + _STATUS_NOW + """ s USING (season, gameweek)""", _with("player_fixture", "gameweek_status", "fixture") + ", " + _BEST))
 def fct_player_fixture_settled(s):
     """Facts ratified by a closed season, a status capture or, where status captures hadn't begun, a date."""
-    return served.fct_player_fixture(s.player_fixture, served.gameweek_status(s.gameweek_status), served.dim_fixture(s.fixture), SETTLED).select("season", "fpl_id", "fixture_id", "is_ratified")
+    return _built(s, "fct_player_fixture", SETTLED).select("season", "fpl_id", "fixture_id", "is_ratified")
 
 
 @relation("dim_gameweek_settled", _sql(f"""SELECT d.season, d.gameweek, CASE WHEN s.is_ratified OR (s.season IS NULL AND d.season = '1996' AND d.deadline_time < TIMESTAMP '1996-06-01') THEN d.ranked_count END AS ranked_count

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,13 +27,17 @@ def nodes(s: Sources, settled: served.Settled = served.Settled()) -> dict[str, N
         keys = [n.replace(":", "_") for n in needs]
         return Node(lambda *made: getattr(s.preset(**dict(zip(keys, made, strict=True))), name), needs)
 
+    def several(node: Node) -> Node:
+        """A table, as one relation reads it several times."""
+        return replace(node, kept=True)
+
     # What is read of a source is made once; its payloads as texts are there for the look at keys.
     out = {f"payload:{source}": Node(lambda source=source: s.payloads[source]) for source in s.payloads}
     out |= {f"records:{source}": Node(lambda source=source: s.records[source]) for source in s.records}
     out |= {
         "index": of("index"), "run": of("run"), "admission": of("admission", "index", "run"), "admitted": of("admitted", "index", "run", "admission"),
         **{relation: of(relation, f"records:{source}" if source in s.records else f"payload:{source}", "admitted") for source, relation in FIRST.items()},
-        **{n: of(n, "bootstrap") for n in ("player", "team", "position", "gameweek")}, "player_fixture": of("player_fixture", "player_history_capture"),
+        **{n: of(n, "bootstrap") for n in ("player", "team", "position")}, "gameweek": several(of("gameweek", "bootstrap")), "player_fixture": several(of("player_fixture", "player_history_capture")),
         "entry_picks": of("entry_picks", "entry_picks_capture"), "settlement": of("settlement", "index"), "manager_panel": of("manager_panel"),
         "int_gameweek_status": Node(served.gameweek_status, ("gameweek_status",)), "int_player_season": Node(served.player_season, ("player",)),
         "dim_team": Node(served.dim_team, ("team",)), "dim_player": Node(served.dim_player, ("int_player_season", "position")), "dim_fixture": Node(served.dim_fixture, ("fixture",)),

@@ -1,9 +1,12 @@
 """Captures, manifests, catalogs and panels that come in parts."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from capturemill.operators import presence
-from capturemill.plans import relations, staging
+from capturemill.plans import graph, relations, staging, warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,3 +64,17 @@ def test_admission_shuffles_no_capture(spark):
         assert sorted(r.capture_key for r in s.admitted.collect()) == ["a", "b"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["fct_player_fixture_settled"])
+def test_what_reads_captures_several_times_is_built_in_steps(spark, name):
+    df = relations.QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() == 1 and all("/relation-" in f for f in df.inputFiles()) and df.count()
+
+
+def test_records_read_several_times_by_one_relation_are_a_table(spark):
+    for wanted, several in (("dim_gameweek", "gameweek"), ("fct_player_fixture", "player_fixture")):
+        with graph.Build(spark, warehouse.nodes(relations.world(spark, SF))) as build:
+            build.run([wanted])
+            assert {"admitted", several, wanted} <= set(os.listdir(build.folder.removeprefix("file:")))
