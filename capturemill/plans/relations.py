@@ -290,7 +290,7 @@ def _built(s: staging.Sources, name: str, settled: served.Settled = served.Settl
     LEFT JOIN (SELECT season, gameweek, coalesce(bool_or(a), false) AS is_ratified FROM (SELECT season, gameweek, run_id, bool_and(points = 'r' AND bonus_added) AS a FROM gameweek_status GROUP BY ALL) GROUP BY ALL) s USING (season, gameweek)""", _with("gameweek", "gameweek_status")))
 def dim_gameweek(s):
     """Periods with the last capture before their deadline."""
-    return served.dim_gameweek(s.gameweek, served.gameweek_status(s.gameweek_status), served.Settled())
+    return _built(s, "dim_gameweek")
 
 
 _GRID = f"""win AS (SELECT * FROM picks_capture QUALIFY row_number() OVER (PARTITION BY season, entry_id, gameweek {_NEW}) = 1),
