@@ -325,7 +325,7 @@ def fct_manager_gameweek(s):
 @relation("fct_manager_pick", _sql("SELECT g.season, g.entry_id, g.gameweek, p.slot, p.fpl_id, p.is_captain, p.is_vice_captain, list_contains((SELECT list(x.slot % 500) FROM picks x WHERE x.capture_key = g.capture_key), p.fpl_id) AS is_auto_sub_in, list_contains((SELECT list(x.slot % 600) FROM picks x WHERE x.capture_key = g.capture_key), p.fpl_id) AS is_auto_sub_out FROM grid g JOIN picks p USING (capture_key) WHERE g.status = 'captured'", _MANAGERS))
 def fct_manager_pick(s):
     """Picks with their part in the substitutions."""
-    return served.fct_manager_pick(_manager_grid(s), s.entry_picks_capture, s.entry_picks)
+    return _built(s, "fct_manager_pick")
 
 
 _BEST = """kept AS (SELECT f.* FROM player_fixture f SEMI JOIN (SELECT f.season, f.fpl_id, f.fixture_id FROM player_fixture f JOIN (SELECT season, fpl_id, max(struct_pack(o := observed_at, r := run_id)) AS c FROM player_fixture GROUP BY ALL) n ON n.season = f.season AND n.fpl_id = f.fpl_id AND n.c = struct_pack(o := f.observed_at, r := f.run_id)) k USING (season, fpl_id, fixture_id)),
