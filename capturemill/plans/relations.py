@@ -492,8 +492,8 @@ def fct_player_fixture_settled(s):
     FROM (SELECT * FROM gameweek QUALIFY row_number() OVER (PARTITION BY season, gameweek {_NEW}) = 1) d LEFT JOIN (SELECT * FROM {_STATUS_NOW} WHERE gameweek > 3) s USING (season, gameweek)""", _with("gameweek", "gameweek_status")))
 def dim_gameweek_settled(s):
     """Ranked counts of periods, of those without a status capture by a date; the first three periods of each season have none."""
-    late = served.gameweek_status(s.gameweek_status).filter("gameweek > 3")
-    return served.dim_gameweek(s.gameweek, late, SETTLED).select("season", "gameweek", "ranked_count")
+    late = graph.Node(lambda status: served.gameweek_status(status).filter("gameweek > 3"), ("gameweek_status",))
+    return _built(s, "dim_gameweek", SETTLED, int_gameweek_status=late).select("season", "gameweek", "ranked_count")
 
 
 @relation("player_history_mismatch_found", _sql("SELECT season, run_id, capture_key, observed_at, count(*)::INTEGER AS expected_rows, count(*) FILTER (fixture_id % 13 <> 0) AS staged_rows FROM player_fixture GROUP BY ALL HAVING count(*) FILTER (fixture_id % 13 = 0) > 0", _with("player_fixture")))
