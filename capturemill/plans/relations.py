@@ -388,8 +388,11 @@ def int_player_fixture_history_mismatch(s):
 @relation("int_unstaged_admitted_capture", _sql("SELECT split_part(endpoint, '/', 1) AS endpoint, season, run_id, capture_key, observed_at, CASE WHEN endpoint = 'fixtures' THEN 'warn' ELSE 'error' END AS severity FROM ok WHERE endpoint IN ('event-status', 'fixtures')"))
 def int_unstaged_admitted_capture(s):
     """Admitted captures without staged rows, were two endpoints not staged."""
-    staged = {"bootstrap-static": [s.team, s.position], "entry-picks": [s.entry_picks_capture], "element-summary": [s.player_history_capture], "fixtures": [], "event-status": []}
-    return checks.unstaged_by_endpoint(s.admitted, staged, {"fixtures": "warn"})
+    def unstaged(admitted, team, position, picks, history):
+        staged = {"bootstrap-static": [team, position], "entry-picks": [picks], "element-summary": [history], "fixtures": [], "event-status": []}
+        return checks.unstaged_by_endpoint(admitted, staged, {"fixtures": "warn"})
+
+    return _built(s, "int_unstaged_admitted_capture", int_unstaged_admitted_capture=graph.Node(unstaged, ("admitted", "team", "position", "entry_picks_capture", "player_history_capture")))
 
 
 @relation("int_endpoint_freshness", _sql("SELECT e.endpoint, newest, round(epoch_us(TIMESTAMP '2001-08-01 00:00:00' - newest) / 3600000000.0, 1)::DOUBLE AS age_hours, CASE WHEN e.endpoint = 'element-summary' THEN 'exempt' WHEN newest IS NULL OR epoch_us(TIMESTAMP '2001-08-01 00:00:00' - newest) > 64800000000 THEN 'error' WHEN epoch_us(TIMESTAMP '2001-08-01 00:00:00' - newest) > 21600000000 THEN 'warn' ELSE 'ok' END AS status FROM (VALUES ('bootstrap-static'), ('fixtures'), ('event-status'), ('element-summary'), ('gone')) e(endpoint) LEFT JOIN (SELECT split_part(endpoint, '/', 1) AS endpoint, max(observed_at) AS newest FROM ok WHERE scope IS DISTINCT FROM 'history' GROUP BY 1) n USING (endpoint)"))

@@ -66,7 +66,7 @@ def test_admission_shuffles_no_capture(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("name", ["fct_player_fixture_settled", "dim_gameweek_settled", "fct_manager_pick", "dim_gameweek"])
+@pytest.mark.parametrize("name", ["fct_player_fixture_settled", "dim_gameweek_settled", "fct_manager_pick", "dim_gameweek", "int_unstaged_admitted_capture"])
 def test_what_reads_captures_several_times_is_built_in_steps(spark, name):
     df = relations.QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().optimizedPlan()
